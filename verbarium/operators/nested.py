@@ -72,7 +72,8 @@ def dewey_nodes(records: DataFrame, root_key: Column, columns: list[str], paths:
     schema = T.StructType([records.schema[c] for c in columns])
     whole = F.struct(*[F.col(f"`{c}`") for c in columns])
     nodes = _walk(whole, schema, "", F.array().cast("array<int>"), F.array().cast("array<int>"), paths)
-    flat = records.select(root_key.alias("root_key"), F.explode(nodes).alias("n")).select("root_key", "n.*")
+    # outer, as for the inner explode Catalyst would add a filter that walks the record a second time
+    flat = records.select(root_key.alias("root_key"), F.explode_outer(nodes).alias("n")).filter("n is not null").select("root_key", "n.*")
     parent = F.array_join(F.slice("label", 1, F.size("label") - F.col("up")), ".")
     return flat.select("root_key", "field_path", F.array_join("label", ".").alias("label"), parent.alias("parent_label"), "pos", "value", "fields")
 

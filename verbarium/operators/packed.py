@@ -154,4 +154,5 @@ def split_packed(rows: DataFrame, key: Column, source: Column, text: Column, as_
     best = infer_delimiters(seen, "source", "text").filter("rank = 1 and score > 0").select("source", "delimiter")
     # one row per source; adaptive execution broadcasts it if its measured size allows
     cut_up = base.join(best, "source", "left").select("row_key", F.flatten(F.transform("leaves", lambda x: F.when(x["apart"], _values(x["text"], F.col("delimiter"))).otherwise(F.array(x["text"])))).alias("v"))
-    return cut_up.select("row_key", F.posexplode("v").alias("value_pos", "feature_value")).select("row_key", (F.col("value_pos") + 1).alias("value_pos"), "feature_value").distinct()
+    # outer, as for the inner explode Catalyst would add a filter that splits a second time
+    return cut_up.select("row_key", F.posexplode_outer("v").alias("value_pos", "feature_value")).filter("value_pos is not null").select("row_key", (F.col("value_pos") + 1).alias("value_pos"), "feature_value").distinct()
