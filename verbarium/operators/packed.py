@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verbarium.shipping import ship
+
 #: Delimiters that are tried; letters, digits, '.', '_' and '-' belong to values.
 CANDIDATES = [";", ",", "|", "/", "+", ":", "&", "\t", " "]
 _VAL = r"\p{L}\p{N}._\-"
@@ -142,6 +144,7 @@ def split_packed(rows: DataFrame, key: Column, source: Column, text: Column, as_
     text. Null and blank texts have no values; an unclosed quote separates; an empty quoted stretch is an
     empty value. Repeated rows come out once; other columns of ``rows`` are not read.
     """
+    ship(rows.sparkSession)
     base = rows.select(key.cast("string").alias("row_key"), F.coalesce(source, F.lit("")).alias("source"), text.alias("text")).filter("text is not null").distinct()
     if as_json:
         maybe = F.col("text").rlike(r"^\s*[\[{\"\-0-9tfnNI]")  # no JSON starts otherwise, and other texts stay in the JVM
