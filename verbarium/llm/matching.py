@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbarium.lineage import cut, drop
+from verbarium.shipping import ship
 
 #: Hashes kept of a headword's deletions. Up to 63 letters that is all of them, so one slip cannot hide a pair.
 SKETCH = 64
@@ -116,6 +117,7 @@ def profiles(rows: DataFrame) -> DataFrame:
     A missing part of speech is read off the gloss's pattern (its frame words in order), if rows that have one
     use that pattern for one part of speech at least nine times in ten.
     """
+    ship(rows.sparkSession)
     frame = F.array(*[F.lit(w) for w in _FRAME])
     base = rows.select("key", "side", _headword_key("lemma").alias("hw"), "pos", _words(F.col("gloss")).alias("all"), _sound_key("sound").alias("sound_k"))
     base = base.withColumn("words", F.array_sort(F.array_distinct(F.array_except("all", frame))))
@@ -151,7 +153,10 @@ def candidate_pairs(prof: DataFrame) -> DataFrame:
     left = one.filter("side = 'K'").drop("side")
     right = one.filter("side <> 'K'")
     right = right.select(*[F.col(c).alias(c + "2") for c in cols])
-    pairs = left.join(candidate_headwords(left, one.filter("side <> 'K'")), "hw").join(right, "hw2").filter("pos is null or pos2 is null or pos = pos2")
+    # a word with more letters at its end is a longer, derived word, even if it sounds the same
+    derived = (F.col("hw").startswith(F.col("hw2")) | F.col("hw2").startswith(F.col("hw"))) & (F.abs(F.length("hw") - F.length("hw2")) > 1)
+    heads = candidate_headwords(left, one.filter("side <> 'K'")).filter(~derived)
+    pairs = left.join(heads, "hw").join(right, "hw2").filter("pos is null or pos2 is null or pos = pos2")
     both = (F.size("words") > 0) & (F.size("words2") > 0)
     edits = F.levenshtein("hw", "hw2")
     swapped = (edits == 2) & (F.array_sort(F.split("hw", "")) == F.array_sort(F.split("hw2", "")))

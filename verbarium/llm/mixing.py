@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from verbarium.lineage import cut, drop
 from verbarium.llm import tokens
+from verbarium.shipping import ship
 
 #: Token ids are counted in so many buckets by the classifier.
 BUCKETS = 4096
@@ -35,6 +36,7 @@ def clean_source(source: Column) -> Column:
 
 def tokenized(documents: DataFrame, doc_id: str, text: str, source: str, ranks: str = tokens.RANKS) -> DataFrame:
     """``(doc_id, source, n_tokens, tokens)``; null texts have no tokens."""
+    ship(documents.sparkSession)
     kind = documents.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from verbarium.lineage import cut, drop
 from verbarium.llm.lookup import lookup
+from verbarium.shipping import ship
 
 _NOT_ALNUM = re.compile(r"[\W_]+")
 
@@ -95,6 +96,7 @@ def restated(records: DataFrame, key: str, exact: list[str], texts: list[str], j
     Shuffles move raw values twice and integers otherwise. A hot value, pair or group is handled by
     :func:`lookup`; no group is collected, except that of one record's own pairs.
     """
+    ship(records.sparkSession)
     columns = [*exact, *texts, *jsons]
     own = records.filter(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("_key"), *[F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(columns)]).distinct()
     # a key may stand on several records, so a record is known by its contents too

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from verbarium.llm import tokens
+from verbarium.shipping import ship
 
 #: What a node of each level is cut before (zero-width matches), coarse to fine: headings 1 to 6, a heading
 #: without marks (a short line between blank ones), paragraphs, list items, lines, sentences, words.
@@ -142,6 +143,7 @@ def split_oversized(documents: DataFrame, doc_id: str, text: str, profiles: Data
     if len(rows) > max_profiles:
         raise ValueError(f"more than {max_profiles} profiles")
     limits = [(r.profile, int(r.max_tokens), int(r.overlap_tokens or 0)) for r in rows if r.max_tokens and r.max_tokens > 0]
+    ship(documents.sparkSession)
     key_type = documents.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
