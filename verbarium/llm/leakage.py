@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verbarium.llm.lookup import spread
+
 K_WORDS = 5
 RUN_WORDS = 12
 #: Test fingerprints are broadcast up to this many rows (about 40 bytes each); beyond it both sides shuffle.
@@ -60,7 +62,7 @@ def leaks(documents: DataFrame, doc_id: str, items: DataFrame, item_id: str, tex
     tests = winnow(items.select(item_id, text).distinct(), item_id, text, k, run).select(F.col("key").alias("item"), "hash", F.col("near").alias("item_near"), F.col("off").alias("item_off")).distinct()
     if tests.count() <= BROADCAST_ROWS:
         tests = F.broadcast(tests)
-    docs = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("doc_text"))
+    docs = spread(documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("doc_text")))
     found = winnow(docs, "doc", "doc_text", k, run).withColumnRenamed("key", "doc").join(tests, "hash")
     back = F.sequence(F.lit(0), F.least("off", "item_off"))
 

@@ -18,3 +18,9 @@ def lookup(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total
     hot = F.broadcast(table.filter(F.col(count) * HOT_PARTS > total).drop(count))
     cold = table.filter(F.col(count) * HOT_PARTS <= total).drop(count)
     return rows.join(hot, keys).unionByName(rows.join(hot, keys, "left_anti").join(cold, keys))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` over all cores before costly work per row, where a small table has fewer partitions than there are cores."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -52,7 +52,7 @@ def headword_key(lemma: str | None) -> str:
     edge = " \t\n\r\"'.,;:“”‘’"
     s = re.sub(r"\s+", " ", s).strip(edge)
     s = re.sub(r"\s*(?:#\d+|\(\d+\)|\.\d+)$", "", s).strip(edge)
-    s = re.sub(r"^(?:to|the|an?)\s+(?=\S)", "", s)
+    s = re.sub(r"^(?:to|the|an?)[\s_]+(?=\S)", "", s)
     s = "".join(c for c in s if c.isalpha())
     for a, b in _ENDINGS:
         if s.endswith(a) and len(s) > len(a) + 2:
@@ -154,7 +154,9 @@ def candidate_pairs(prof: DataFrame) -> DataFrame:
     right = one.filter("side <> 'K'")
     right = right.select(*[F.col(c).alias(c + "2") for c in cols])
     # a word with more letters at its end is a longer, derived word, even if it sounds the same
-    derived = (F.col("hw").startswith(F.col("hw2")) | F.col("hw2").startswith(F.col("hw"))) & (F.abs(F.length("hw") - F.length("hw2")) > 1)
+    shorter = F.least(F.length("hw"), F.length("hw2"))
+    stem = shorter - 2  # the end of a stem may change spelling before what is added
+    derived = (F.greatest(F.length("hw"), F.length("hw2")) - shorter > 1) & (F.substring(F.col("hw"), F.lit(1), stem) == F.substring(F.col("hw2"), F.lit(1), stem))
     heads = candidate_headwords(left, one.filter("side <> 'K'")).filter(~derived)
     pairs = left.join(heads, "hw").join(right, "hw2").filter("pos is null or pos2 is null or pos = pos2")
     both = (F.size("words") > 0) & (F.size("words2") > 0)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from verbarium.lineage import cut, drop
 from verbarium.llm import tokens
+from verbarium.llm.lookup import spread
 from verbarium.shipping import ship
 
 #: Token ids are counted in so many buckets by the classifier.
@@ -28,6 +29,8 @@ TRAIN_PER_SOURCE = 2000
 MAX_SOURCES = 200
 #: Documents per bucket of the rounding, about.
 ROUND_GROUP = 20_000
+#: Documents per source whose copies are changed by one after the rounding, at most.
+EVEN_ROUNDS = 8
 
 
 def clean_source(source: Column) -> Column:
@@ -43,10 +46,10 @@ def tokenized(documents: DataFrame, doc_id: str, text: str, source: str, ranks:
         enc = tokens.encoding(ranks)
         for b in batches:
             ids = [tokens.encode(enc, t) if t is not None else [] for t in b["t"]]
-            yield pd.DataFrame({"doc_id": b["k"], "source": b["s"], "n_tokens": [len(i) for i in ids], "tokens": ids})
+            yield pd.DataFrame({"doc_id": b["k"], "source": b["s"], "n_tokens": [len(i) for i in ids], "tokens": [np.asarray(i, np.int32) for i in ids]})
 
     rows = documents.select(documents[doc_id].alias("k"), clean_source(documents[source]).alias("s"), documents[text].alias("t")).filter("k is not null")
-    return rows.mapInPandas(run, f"doc_id {kind}, source string, n_tokens int, tokens array<int>")
+    return spread(rows).mapInPandas(run, f"doc_id {kind}, source string, n_tokens int, tokens array<int>")
 
 
 def fit_classifier(docs: DataFrame, sources: list[str], per_source: int = TRAIN_PER_SOURCE) -> np.ndarray:
@@ -224,7 +227,40 @@ def mixture(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", te
     start = F.pmod(F.xxhash64("source", "_slice"), F.lit(1000)) / 1000
     cap = F.create_map(*[x for s, c in zip(names, plan.caps) for x in (F.lit(s), F.lit(int(c)))]) if names else F.create_map(F.lit(""), F.lit(0))
     copies = F.floor(F.col("_sum") + start) - F.floor(F.round(F.col("_sum") - F.col("rate"), 9) + start)
-    return upto.select("doc_id", "source", "n_tokens", F.round("rate", 6).alias("rate"), F.least(copies, F.try_element_at(cap, F.col("source"))).cast("int").alias("copies"))
+    capped = F.least(copies, F.try_element_at(cap, F.col("source"))).cast("int")
+    rounded = cut(upto.select("doc_id", "source", "n_tokens", F.round("rate", 6).alias("rate"), capped.alias("copies")))
+    drop(scored)
+    return _evened(rounded, plan)
+
+
+def _evened(rounded: DataFrame, plan: Plan, rounds: int = EVEN_ROUNDS) -> DataFrame:
+    """Brings each source nearer to its goal: each round one copy of one document of a source is added or taken away.
+
+    It is the longest document that does not overshoot. A round is one aggregate with one row per source.
+    """
+    used = {r.source: r.t for r in rounded.groupBy("source").agg(F.sum(F.col("n_tokens").cast("long") * F.col("copies")).alias("t")).collect()}
+    gap = {s: round(g) - (used.get(s) or 0) for s, g in zip(plan.names, plan.goal) if s in used}
+    caps = {s: int(c) for s, c in zip(plan.names, plan.caps)}
+    flips: list[tuple] = []
+    for _ in range(rounds):
+        open_ = {s: g for s, g in gap.items() if g}
+        if not open_:
+            break
+        of = lambda d: F.try_element_at(F.create_map(*[x for s in open_ for x in (F.lit(s), F.lit(d[s]))]), F.col("source"))
+        g = of(open_)
+        fits = (F.col("n_tokens") > 0) & (F.col("n_tokens") <= F.abs(g)) & F.when(g > 0, F.col("copies") < of(caps)).otherwise(F.col("copies") > 0)
+        best = rounded.filter(F.col("source").isin(list(open_)) & fits & ~F.col("doc_id").isin([f[0] for f in flips])).groupBy("source").agg(F.max(F.struct("n_tokens", "doc_id")).alias("b")).collect()
+        if not best:
+            break
+        for r in best:
+            way = 1 if gap[r.source] > 0 else -1
+            gap[r.source] -= way * r.b.n_tokens
+            flips.append((r.b.doc_id, way))
+    if not flips:
+        return rounded
+    kind = rounded.schema["doc_id"].dataType.simpleString()
+    moves = F.broadcast(rounded.sparkSession.createDataFrame(flips, f"doc_id {kind}, _way int"))  # MAX_SOURCES * EVEN_ROUNDS rows at most
+    return rounded.join(moves, "doc_id", "left").withColumn("copies", F.col("copies") + F.coalesce("_way", F.lit(0))).drop("_way")
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from verbarium.llm import tokens
+from verbarium.llm.lookup import spread
 from verbarium.shipping import ship
 
 #: What a node of each level is cut before (zero-width matches), coarse to fine: headings 1 to 6, a heading
@@ -37,7 +38,7 @@ class _Text:
     def __init__(self, text: str, enc) -> None:
         self.text, self.enc = text, enc
         self.ids = tokens.encode(enc, text)
-        self.starts = enc.decode_with_offsets(self.ids)[1]
+        self.starts = tokens.places(enc, self.ids)
 
     def size(self, a: int, b: int) -> int:
         """Tokens of the whole text that start in [a, b), and one for the token the cut may split."""
@@ -84,6 +85,17 @@ def _pack(t: _Text, a: int, b: int, limit: int, level: int = 0) -> Iterator[tupl
         todo += reversed([(x, y, lv + (lv < len(_LEVELS) and y - x == b - a), w) for x, y, lv, w in out])
 
 
+def _without_runts(t: _Text, spans: Iterator[tuple[int, int]], limit: int) -> list[tuple[int, int]]:
+    """Joins a span of under an eighth of the limit to the one before, where both fit."""
+    out: list[tuple[int, int]] = []
+    for a, b in spans:
+        if out and 8 * t.size(a, b) < limit and t.size(out[-1][0], b) <= limit:
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+    return out
+
+
 def _tail(t: _Text, a: int, b: int, n: int) -> int:
     """Where the last ``n`` tokens of the piece [a, b) start; at least as many, if a character is not to be split."""
     if n <= 0:
@@ -91,7 +103,7 @@ def _tail(t: _Text, a: int, b: int, n: int) -> int:
     ids = tokens.encode(t.enc, t.text[a:b])
     if len(ids) <= n:
         return a
-    offsets = t.enc.decode_with_offsets(ids)[1]
+    offsets = tokens.places(t.enc, ids)
     k = len(ids) - n
     while k and len(tokens.encode(t.enc, t.text[a + offsets[k] : b])) < n:
         k -= 1
@@ -103,17 +115,19 @@ def split_text(text: str | None, max_tokens: int, overlap: int, enc) -> list[tup
 
     Null texts and texts within the limit have none. The parts from ``fresh`` on put together are the text.
     """
-    if text is None or max_tokens < 1:
-        return []
-    t = _Text(text, enc)
-    if len(t.ids) <= max_tokens:
+    return [] if text is None else _split(_Text(text, enc), max_tokens, overlap)
+
+
+def _split(t: _Text, max_tokens: int, overlap: int) -> list[tuple[int, int, int, int]]:
+    text, enc = t.text, t.enc
+    if max_tokens < 1 or len(t.ids) <= max_tokens:
         return []
     overlap = max(0, min(overlap, max_tokens - 1))
     out: list[tuple[int, int, int, int]] = []
     todo = [(0, len(text), max(1, max_tokens - overlap))]
     while todo:
         a, b, limit = todo.pop()
-        spans = list(_pack(t, a, b, limit))
+        spans = _without_runts(t, _pack(t, a, b, limit), limit)
         if len(spans) > 1:
             todo += [(x, y, limit) for x, y in reversed(spans)]
             continue
@@ -144,6 +158,7 @@ def split_oversized(documents: DataFrame, doc_id: str, text: str, profiles: Data
         raise ValueError(f"more than {max_profiles} profiles")
     limits = [(r.profile, int(r.max_tokens), int(r.overlap_tokens or 0)) for r in rows if r.max_tokens and r.max_tokens > 0]
     ship(documents.sparkSession)
+    least = min((most for _, most, _ in limits), default=0)
     key_type = documents.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,8 +166,11 @@ def split_oversized(documents: DataFrame, doc_id: str, text: str, profiles: Data
         for batch in batches:
             out = []
             for key, body in zip(batch["k"], batch["t"]):
+                if 4 * len(body) <= least:  # a token has at least one byte, a character at most four
+                    continue
+                whole = _Text(body, enc)
                 for name, most, overlap in limits:
-                    out += [(key, name, i, s, f, e, n, body[s:e]) for i, (s, f, e, n) in enumerate(split_text(body, most, overlap, enc), 1)]
+                    out += [(key, name, i, s, f, e, n, body[s:e]) for i, (s, f, e, n) in enumerate(_split(whole, most, overlap), 1)]
                 if len(out) > 5000:
                     yield pd.DataFrame(out, columns=cols)
                     out = []
@@ -161,4 +179,4 @@ def split_oversized(documents: DataFrame, doc_id: str, text: str, profiles: Data
     cols = [doc_id, "profile", "piece_no", "start", "fresh", "end", "n_tokens", "piece"]
     schema = f"`{doc_id}` {key_type}, profile string, piece_no int, start int, fresh int, `end` int, n_tokens int, piece string"
     source = documents.select(documents[doc_id].alias("k"), documents[text].alias("t")).filter("t is not null and k is not null")
-    return source.mapInPandas(run, schema)
+    return spread(source).mapInPandas(run, schema)
