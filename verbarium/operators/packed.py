@@ -20,7 +20,7 @@ from verbarium.shipping import ship
 #: Delimiters that are tried; letters, digits, '.', '_' and '-' belong to values.
 CANDIDATES = [";", ",", "|", "/", "+", ":", "&", "\t", " "]
 _VAL = r"\p{L}\p{N}._\-"
-_QUOTED = "\"(?:[^\"]|\"\")*\"|'(?:[^']|'')*'"
+_QUOTED = "\"(?:[^\"]|\"\")*+\"|'(?:[^']|'')*+'"
 #: A value: a run of value characters (a quote straight after it separates), or a quoted stretch.
 GRAMMAR = rf"[{_VAL}]+[\"']?|{_QUOTED}"
 _PLAIN = rf"^[{_VAL}]+$"
