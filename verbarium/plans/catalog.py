@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verbarium.plans import problems
+from verbarium.plans import lexical, problems
 
-QUERIES = {**problems.QUERIES}
-ORACLE = {**problems.ORACLE}
+QUERIES = {**problems.QUERIES, **lexical.QUERIES}
+ORACLE = {**problems.ORACLE, **lexical.ORACLE}
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return problems.p1_found(spark, sf)
+    return lexical.paradigms(spark, sf)
