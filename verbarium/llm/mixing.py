@@ -74,8 +74,8 @@ def fit_classifier(docs: DataFrame, sources: list[str], per_source: int = TRAIN_
 def posteriors(ids: np.ndarray, log_p: np.ndarray) -> np.ndarray:
     """Tempered posteriors: the evidence grows with the root of the length, for words are not independent."""
     n = log_p.shape[0]
-    if not len(ids):
-        return np.full(n, 1.0 / n)
+    if not n or not len(ids):
+        return np.full(n, 1.0 / max(1, n))
     z = log_p[:, ids % log_p.shape[1]].mean(axis=1) * np.sqrt(len(ids))
     z = np.exp(z - z.max())
     return z / z.sum()
@@ -203,6 +203,9 @@ def mixture(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", te
     """
     wanted = _targets(targets)
     names = list(wanted.source)
+    if not names:
+        kind = documents.schema[doc_id].dataType.simpleString()
+        return documents.sparkSession.createDataFrame([], f"doc_id {kind}, source string, n_tokens int, rate double, copies int")
     docs = cut(tokenized(documents, doc_id, text, source, ranks))
     scored = cut(_scored(docs, names, fit_classifier(docs, names)))
     drop(docs)

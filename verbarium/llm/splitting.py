@@ -32,6 +32,7 @@ _LEVELS = [
 ]
 
 
+
 class _Text:
     """A text with the places of its tokens."""
 
@@ -85,11 +86,28 @@ def _pack(t: _Text, a: int, b: int, limit: int, level: int = 0) -> Iterator[tupl
         todo += reversed([(x, y, lv + (lv < len(_LEVELS) and y - x == b - a), w) for x, y, lv, w in out])
 
 
+def _is_heading(text: str) -> bool:
+    bare = text.strip()
+    return bare != "" and "\n" not in bare and (bare.startswith("#") or bare[-1] not in ".!?:;,…。！？")
+
+
 def _without_runts(t: _Text, spans: Iterator[tuple[int, int]], limit: int) -> list[tuple[int, int]]:
-    """Joins a span of under an eighth of the limit to the one before, where both fit."""
-    out: list[tuple[int, int]] = []
-    for a, b in spans:
-        if out and 8 * t.size(a, b) < limit and t.size(out[-1][0], b) <= limit:
+    """Joins a span of under an eighth of the limit to the one before, where both fit.
+
+    A heading that stands alone goes with what follows it: the two are packed anew, by lines, sentences or words.
+    """
+    todo, out = list(spans)[::-1], []
+    while todo:
+        a, b = todo.pop()
+        small = 8 * t.size(a, b) < limit
+        if small and todo and _is_heading(t.text[a:b]):
+            anew = (list(_pack(t, a, todo[-1][1], limit, level)) for level in range(len(_LEVELS) - 3, len(_LEVELS)))
+            if after := next((x for x in anew if x[0][1] > b), None):
+                out.append(after[0])
+                todo.pop()
+                todo += after[:0:-1]
+                continue
+        if small and out and t.size(out[-1][0], b) <= limit:
             out[-1] = (out[-1][0], b)
         else:
             out.append((a, b))
