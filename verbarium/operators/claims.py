@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verbarium.functions.ids import form_key, lexeme_key, morpheme_key, relation_key, uuid5
+from verbarium.functions.ids import NS_DNS, form_key, lexeme_key, morpheme_key, relation_key, uuid5
 from verbarium.functions.morph import form_type
 from verbarium.functions.text import bundle_pos, feature_tags, frequency_tier, map_pos, normalize_text, zipf
 from verbarium.shipping import ship
@@ -116,7 +116,7 @@ def crosswalk(parts: dict[str, DataFrame]) -> DataFrame:
     for name, df in parts.items():
         canon, pos = F.lower(F.trim("lemma")), F.lower(F.trim("pos"))
         rows = df.filter("lemma is not null and pos is not null").select(
-            F.lit(name).alias("source_table"), F.col("id").cast("string").alias("source_id"), uuid5(F.concat(F.lit("lexeme:"), canon, F.lit(":"), pos)).alias("resolved_id"),
+            F.lit(name).alias("source_table"), F.col("id").cast("string").alias("source_id"), uuid5(F.concat(F.lit("lexeme:"), canon, F.lit(":"), pos), NS_DNS).alias("resolved_id"),
             F.lit("EXPLICIT" if name == "synsets" else "ATTESTED").alias("epistemic_status"),
         )
         out = rows if out is None else out.unionByName(rows)

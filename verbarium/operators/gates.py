@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbarium.functions.ids import uuid5
+from verbarium.functions.ids import NS_DNS, uuid5
 from verbarium.operators.graph import dangling, mutual_pairs
 
 EPISTEMIC = ["EXPLICIT", "GENERATED", "ATTESTED", "INFERRED", "UNCERTAIN"]
@@ -83,9 +83,9 @@ def cycles(edges: DataFrame, kind: str) -> DataFrame:
     return mutual_pairs(edges, kind)
 
 
-def wrong_ids(rows: DataFrame, key: str, name: Column) -> DataFrame:
+def wrong_ids(rows: DataFrame, key: str, name: Column, namespace: str = NS_DNS) -> DataFrame:
     """Rows whose id is not the UUIDv5 of their name."""
-    return rows.filter(~F.col(key).eqNullSafe(uuid5(name)))
+    return rows.filter(~F.col(key).eqNullSafe(uuid5(name, namespace)))
 
 
 def shortcuts(edges: DataFrame, kind: str) -> DataFrame:

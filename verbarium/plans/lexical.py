@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbarium.functions import text as tx
+from verbarium.functions.ids import NS_DNS
 from verbarium.functions.morph import inflect
 from verbarium.operators import claims as cl
 from verbarium.operators import export, gates, graph, inference, resolution, search, workspace
@@ -105,7 +106,7 @@ def entity_frequency(spark, sf):
 
 @query(f"""WITH parts AS (SELECT 'synsets' t, synset_id id, lemma, pos FROM staging_semantic_relations WHERE relation_type = 'MEMBER'
 UNION ALL SELECT 'raw_lexical_entries', source_id, lemma, pos FROM staging_lexical_entries UNION ALL SELECT 'raw_inflections', id, lemma, pos FROM raw_inflections)
-SELECT DISTINCT t source_table, id source_id, {sql.uuid5("'lexeme:' || lower(trim(lemma, ' ')) || ':' || lower(trim(pos, ' '))")} resolved_id, CASE t WHEN 'synsets' THEN 'EXPLICIT' ELSE 'ATTESTED' END epistemic_status
+SELECT DISTINCT t source_table, id source_id, {sql.uuid5("'lexeme:' || lower(trim(lemma, ' ')) || ':' || lower(trim(pos, ' '))", NS_DNS)} resolved_id, CASE t WHEN 'synsets' THEN 'EXPLICIT' ELSE 'ATTESTED' END epistemic_status
 FROM parts WHERE lemma IS NOT NULL AND pos IS NOT NULL""")
 def entity_crosswalk(spark, sf):
     return cl.crosswalk({
@@ -472,7 +473,7 @@ def gate_shared_paradigms(spark, sf):
     return gates.shared_paradigms(df, "k", "pos", "canonical_form").select("canonical_form", "n")
 
 
-@query(f"SELECT resolved_id, resolution_key FROM resolved_entities WHERE resolved_id IS DISTINCT FROM {sql.uuid5('resolution_key')}")
+@query(f"SELECT resolved_id, resolution_key FROM resolved_entities WHERE resolved_id IS DISTINCT FROM {sql.uuid5('resolution_key', NS_DNS)}")
 def gate_wrong_ids(spark, sf):
     return gates.wrong_ids(_entities(spark, sf), "resolved_id", F.col("resolution_key")).select("resolved_id", "resolution_key")
 

@@ -7,8 +7,8 @@ from verbarium.functions.morph import IRREGULAR, RULES
 from verbarium.functions.text import FEATURE_TAGS, POS_TAGS
 
 
-def uuid5(name: str) -> str:
-    h = f"sha1(unhex('{NS_OID.replace('-', '')}') || encode({name}))"
+def uuid5(name: str, namespace: str = NS_OID) -> str:
+    h = f"sha1(unhex('{namespace.replace('-', '')}') || encode({name}))"
     return (
         f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || "
         f"substr('89ab89ab89ab89ab', ('0x' || substr({h}, 17, 1))::INT + 1, 1) || substr({h}, 18, 3) || '-' || substr({h}, 21, 12))"
