@@ -18,13 +18,13 @@ from verbarium.llm import tokens
 from verbarium.llm.lookup import spread
 from verbarium.shipping import ship
 
-#: What a node of each level is cut before (zero-width matches), coarse to fine: headings 1 to 6, a heading
+#: A node of each level is cut at the ends of these matches, coarse to fine: headings 1 to 6, a heading
 #: without marks (a short line between blank ones), paragraphs, list items, lines, sentences, words.
 _HEADINGS = [re.compile(rf"^(?={'#' * n}[ \t])", re.M) for n in range(1, 7)]
 _LEVELS = [
     *_HEADINGS,
     re.compile(r"(?<=\n\n)(?=[^\n]{1,60}(?<![.!?:;,…])\n\n)"),
-    re.compile(r"(?<=\n)(?<=[ \t\r]\n|\n\n)(?=[^\n])|(?<=\n)(?=\n*\n[^\n])(?<!\n\n)(?!\n)"),
+    re.compile(r"\n(?:[ \t\r]*\n)+"),
     re.compile(r"^(?=[ \t]*(?:[-*+•]|\d+[.)])[ \t])", re.M),
     re.compile(r"(?<=\n)(?=[^\n])"),
     re.compile(r"(?<=[.!?…。！？])[\"'”’)\]]*[ \t]+(?=\S)"),
@@ -32,7 +32,6 @@ _LEVELS = [
 ]
 
 
-
 class _Text:
     """A text with the places of its tokens."""
 
