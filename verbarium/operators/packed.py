@@ -65,7 +65,9 @@ def infer_delimiters(texts: DataFrame, source: str, text: str, n: str | None = N
     bare = F.regexp_replace(F.col(text), _QUOTED, "Q")  # a quoted stretch is one plain value
     weight = F.col(n) if n else F.lit(1)
     cand = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(d).alias("delimiter")) for i, d in enumerate(CANDIDATES)])
-    per = texts.filter(F.col(text).isNotNull()).select(F.col(source).alias("source"), bare.alias("bare"), weight.cast("long").alias("w"), F.explode(cand).alias("c"))
+    # bundles are few and much repeated: each distinct one is taken apart once
+    once = texts.filter(F.col(text).isNotNull()).groupBy(F.col(source).alias("source"), bare.alias("bare")).agg(F.sum(weight.cast("long")).alias("w"))
+    per = once.select("source", "bare", "w", F.explode(cand).alias("c"))
     pieces = F.filter(F.transform(F.split(F.col("bare"), F.concat(F.lit(r"\Q"), F.col("c.delimiter"), F.lit(r"\E"))), lambda p: F.trim(p)), lambda p: p != "")
     per = per.select("source", "c.ord", "c.delimiter", "w", F.instr(F.trim("bare"), F.col("c.delimiter")).alias("at"), pieces.alias("p"))
     per = per.select("source", "ord", "delimiter", "w", (F.col("at") > 0).alias("has"), F.size("p").alias("k"), F.size(F.filter("p", lambda p: p.rlike(_PLAIN))).alias("plain"))
