@@ -2,16 +2,20 @@
 
 Parent and child keys are put in one long form and grouped by (parent table, key). Each group is reduced by
 a partial aggregate to a handful of numbers, whatever its size, and the groups whose parents cannot serve all
-their children are kept; child rows meet only those. Counts by period are sums over the same rows.
+their children are kept; child rows meet only those, without shuffling the rows of hot keys. Counts by period
+are sums over the same rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from verbarium.lineage import cut
+from verbarium.operators.lookup import lookup
+
 _PARENT = ["parent_table", "key", "born_us", "alive"]
 _CHILD = ["ref_table", "ref_id", "ref_field", "parent_table", "key", "at_us"]
 
@@ -50,24 +54,26 @@ def orphan_references(parents: Iterable[DataFrame], children: Iterable[DataFrame
     parent table has no parents, so its references are missing. Repeated rows come out once. Empty children
     give no rows, empty parents make every reference missing.
     """
-    refs = _union(children)
-    owners = _union(parents)
+    # null parent tables match nothing; as a value of their own they still group
+    refs = _union(children).withColumn("parent_table", F.coalesce("parent_table", F.lit("\0")))
+    owners = _union(parents).filter("parent_table is not null")
     long = owners.select(
         "parent_table", "key", F.lit(1).alias("is_parent"), F.col("alive").cast("int").alias("alive"), "born_us", F.lit(None).cast("long").alias("at_us")
     ).unionByName(refs.select("parent_table", "key", F.lit(0).alias("is_parent"), F.lit(0).alias("alive"), F.lit(None).cast("long").alias("born_us"), "at_us"))
-    groups = (
+    seen = Observation()
+    groups = cut(
         long.groupBy("parent_table", "key")
-        .agg(F.max("is_parent").alias("has_parent"), F.max("alive").alias("alive"), F.min("born_us").alias("born_us"), F.min("at_us").alias("first_us"), F.min("is_parent").alias("no_child"))
-        .filter("no_child = 0 and (has_parent = 0 or alive = 0 or born_us > first_us)")
+        .agg(F.max("is_parent").alias("has_parent"), F.max("alive").alias("alive"), F.min("born_us").alias("born_us"), F.min("at_us").alias("first_us"), F.count_if(F.col("is_parent") == 0).alias("n"))
+        .observe(seen, F.sum("n").alias("n"))
+        .filter("n > 0 and (has_parent = 0 or alive = 0 or born_us > first_us)")
         .select(
-            "parent_table", "key",
+            "parent_table", "key", "n",
             F.when(F.col("has_parent") == 0, "missing").when(F.col("alive") == 0, "deleted").otherwise("late").alias("reason"),
             F.when((F.col("has_parent") == 1) & (F.col("alive") == 1), F.col("born_us")).alias("late_after_us"),
         )
     )
-    same = (refs.parent_table.eqNullSafe(groups.parent_table)) & (refs.key == groups.key)
-    hit = refs.join(groups, same).filter("late_after_us is null or at_us < late_after_us")
-    return hit.select("ref_table", "ref_id", "ref_field", refs["key"].alias("target_id"), "at_us", "reason").distinct()
+    hit = lookup(refs, groups, ["parent_table", "key"], "n", seen.get["n"] or 0).filter("late_after_us is null or at_us < late_after_us")
+    return hit.select("ref_table", "ref_id", "ref_field", F.col("key").alias("target_id"), "at_us", "reason").distinct()
 
 
 def orphan_counts(orphans: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def read_subtlex(spark: SparkSession, path: str) -> DataFrame:
 
 def read_oewn_yaml(spark: SparkSession, path: str) -> DataFrame:
     """``(key, is_synset, body)`` of a directory of YAML files; ``body`` is JSON. Keys like ``00001740-n`` are synsets."""
-    files = spark.read.option("wholetext", True).text(path).select("value")
+    files = spark.read.text(path, wholetext=True).select("value")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import json
