@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbarium.llm.lookup import spread
+from verbarium.operators.lookup import spread
 
 K_WORDS = 5
 RUN_WORDS = 12

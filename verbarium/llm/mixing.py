@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from verbarium.lineage import cut, drop
 from verbarium.llm import tokens
-from verbarium.llm.lookup import spread
+from verbarium.operators.lookup import spread
 from verbarium.shipping import ship
 
 #: Token ids are counted in so many buckets by the classifier.

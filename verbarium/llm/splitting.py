@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from verbarium.llm import tokens
-from verbarium.llm.lookup import spread
+from verbarium.operators.lookup import spread
 from verbarium.shipping import ship
 
 #: A node of each level is cut at the ends of these matches, coarse to fine: headings 1 to 6, a heading
