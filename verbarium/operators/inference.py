@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbarium.functions.ids import uuid5
 from verbarium.functions.morph import SLOT_FEATURES, inflect
+from verbarium.operators.claims import morphemes
 
 #: Rules as data: name, affix, kind, part of speech of base and of the derived word, pattern of the stem.
 AFFIX_RULES = [
@@ -15,7 +16,7 @@ AFFIX_RULES = [
     ("SUFFIX_ABLE_VERB_TO_ADJ", "-able", "SUFFIX", "VERB", "ADJECTIVE", "^([a-z]+)able$"),
 ]
 # The productive affixes of the morpheme catalogue.
-AFFIXES = [("re-", "PREFIX"), ("un-", "PREFIX"), ("-able", "SUFFIX"), ("-er", "SUFFIX"), ("-ness", "SUFFIX"), ("-ly", "SUFFIX")]
+AFFIXES = [("un-", "PREFIX"), ("re-", "PREFIX"), ("-ness", "SUFFIX"), ("-ly", "SUFFIX"), ("-tion", "SUFFIX"), ("-able", "SUFFIX")]
 MIN_STEM = 3
 
 
@@ -83,3 +84,8 @@ def structures(derivations: DataFrame) -> DataFrame:
     affix = F.struct(F.col("affix").alias("shape"), F.when(prefix, "PREFIX").otherwise("SUFFIX").alias("type"))
     stem = F.struct(F.col("base_lemma").alias("shape"), F.lit("ROOT").alias("type"))
     return derivations.select(F.col("subject_id").alias("target_id"), F.when(prefix, F.array(affix, stem)).otherwise(F.array(stem, affix)).alias("components"))
+
+
+def affix_morphemes(spark: SparkSession) -> DataFrame:
+    """The catalogue of productive affixes as morpheme nodes."""
+    return morphemes(spark.createDataFrame(AFFIXES, "shape string, type string")).withColumn("status", F.lit("ATTESTED"))

@@ -77,3 +77,25 @@ def process_errata(queue: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataF
     touched = edges.join(hit.withColumnsRenamed({"_e": "source_id", "_hit": "_s"}), "source_id", "left").join(hit.withColumnsRenamed({"_e": "target_id", "_hit": "_t"}), "target_id", "left")
     marked = touched.withColumn("epistemic_class", F.when(F.coalesce("_s", "_t").isNotNull(), "UNCERTAIN").otherwise(F.col("epistemic_class"))).select(*edges.columns)
     return done, marked
+
+
+def first_ids(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
+    """One value per key, the first by ``order``: the dimension that links names to ids."""
+    return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(value, F.struct(order, value)).alias(value))
+
+
+def canonical_forms(lexemes: DataFrame, forms: DataFrame, edges: DataFrame) -> DataFrame:
+    """HAS_FORM edges from lexemes to the form that is spelled like them, where there is none yet.
+
+    ``lexeme_id, form_id, edge_id, is_new_form``. An existing form of that spelling is taken (the smallest id),
+    else its id follows from the spelling. ``lexemes``: ``lexeme_id, lemma``; ``forms``: ``form_id, surface``.
+    """
+    spell = F.lower(F.trim("lemma"))
+    lex = lexemes.filter("trim(lemma) <> ''").select("lexeme_id", spell.alias("s")).distinct()
+    own = forms.select("form_id", F.lower(F.trim("surface")).alias("s")).distinct()
+    has = edges.filter("relation_type = 'HAS_FORM'").select(F.col("source_id").alias("lexeme_id"), F.col("target_id").alias("form_id")).join(own, "form_id").select("lexeme_id", "s")
+    lacking = lex.join(has, ["lexeme_id", "s"], "left_anti")
+    known = own.groupBy("s").agg(F.min("form_id").alias("form_id"))
+    form = F.coalesce("form_id", uuid5(F.concat(F.lit("form:"), "s")))
+    out = lacking.join(known, "s", "left").select("lexeme_id", form.alias("f"), F.col("form_id").isNull().alias("is_new_form"))
+    return out.select("lexeme_id", F.col("f").alias("form_id"), uuid5(F.concat("lexeme_id", F.lit(":HAS_FORM:"), "f", F.lit(":CANONICAL"))).alias("edge_id"), "is_new_form")

@@ -275,6 +275,24 @@ def nodes_missing(spark, sf):
     return resolution.missing_nodes(_edges(spark, sf), _entities(spark, sf).select(F.col("resolved_id").alias("node_id")))
 
 
+@query("SELECT canonical_form, arg_min(resolved_id, row(created_at, resolved_id)) resolved_id FROM resolved_entities WHERE entity_type = 'LEXEME' GROUP BY 1")
+def first_lexeme_ids(spark, sf):
+    return resolution.first_ids(_entities(spark, sf, "LEXEME"), "canonical_form", "resolved_id", "created_at")
+
+
+@query(f"""WITH lex AS (SELECT DISTINCT resolved_id l, lower(trim(canonical_form, ' ')) s FROM resolved_entities WHERE entity_type = 'LEXEME' AND trim(canonical_form, ' ') <> ''),
+f AS (SELECT DISTINCT resolved_id f, lower(trim(canonical_form, ' ')) s FROM resolved_entities WHERE entity_type = 'FORM'), h AS (SELECT source_id l, s FROM edges JOIN f ON f = target_id WHERE relation_type = 'HAS_FORM'),
+k AS (SELECT s, min(f) f FROM f GROUP BY 1), o AS (SELECT l, coalesce(f, {sql.uuid5("'form:' || lex.s")}) fid, f IS NULL n FROM lex LEFT JOIN k USING (s) WHERE (l, lex.s) NOT IN (SELECT (l, s) FROM h))
+SELECT l lexeme_id, fid form_id, {sql.uuid5("l || ':HAS_FORM:' || fid || ':CANONICAL'")} edge_id, n is_new_form FROM o""")
+def canonical_forms(spark, sf):
+    return resolution.canonical_forms(_lex_nodes(spark, sf), _form_nodes(spark, sf), _edges(spark, sf))
+
+
+@query("SELECT shape, \"type\", id, 'ATTESTED' status FROM (SELECT *, " + sql.uuid5("'morpheme:' || shape || ':' || \"type\"") + " id FROM (VALUES " + ", ".join(map(str, inference.AFFIXES)) + ") v(shape, \"type\"))")
+def morpheme_catalogue(spark, sf):
+    return inference.affix_morphemes(spark)
+
+
 # ---------------------------------------------------------------- graph
 
 _ADJ = "WITH RECURSIVE roots AS (SELECT DISTINCT resolved_id root FROM resolved_entities WHERE entity_type = 'LEXEME' AND deleted_at IS NOT NULL),\n"
