@@ -50,7 +50,7 @@ def test_recall_and_precision(spark):
 def test_blocks_against_brute_force(spark):
     rng = random.Random(8)
     words = {"".join(rng.choice("abcd") for _ in range(rng.randrange(4, 9))) for _ in range(150)}
-    left = spark.createDataFrame([(w, None) for w in words], "hw string, sound_k string")
+    left = spark.createDataFrame([(w, None, []) for w in words], "hw string, sound_k string, words array<string>")
 
     def slips(w):
         cut = {w[:i] + w[i + 1 :] for i in range(len(w))}

@@ -1,7 +1,7 @@
 """Matching entities across sources without keys.
 
 Rows become profiles (headword key, part of speech, gloss words, sound). Candidates come from min-hash blocks
-over two attributes: bottom-k sketches of the headword's one-letter deletions, and the sound. Pairs get
+over several attributes: bottom-k sketches of the headword's one-letter deletions, the sound, the gloss. Pairs get
 similarity features; a logistic classifier is fitted on pairs weakly labelled by their glosses, with attributes
 masked at random so that it learns to judge pairs that lack them, and its probabilities are calibrated on
 held-out pairs.
@@ -52,7 +52,7 @@ def headword_key(lemma: str | None) -> str:
     edge = " \t\n\r\"'.,;:“”‘’"
     s = re.sub(r"\s+", " ", s).strip(edge)
     s = re.sub(r"\s*(?:#\d+|\(\d+\)|\.\d+)$", "", s).strip(edge)
-    s = re.sub(r"^(?:to|the|an?)[\s_]+(?=\S)", "", s)
+    s = re.sub(r"^(?:(?:to|the|an?)[\s_]+[\"'“‘]*(?=\S))+", "", s)
     s = "".join(c for c in s if c.isalpha())
     for a, b in _ENDINGS:
         if s.endswith(a) and len(s) > len(a) + 2:
@@ -137,13 +137,27 @@ def _sketch(hw: Column) -> Column:
     return F.slice(F.array_sort(F.array_distinct(gone)), 1, SKETCH)
 
 
+def _gloss_sketch(hw: Column, words: Column) -> Column:
+    """Hashes of the gloss's words, and of all but one of at most eight, each with either end of the headword.
+
+    With an end of the headword, a gloss that very many words share makes no block of them all.
+    """
+    sets = F.concat(F.array(words), F.when(F.size(words).between(3, 8), F.transform(words, lambda w: F.array_remove(words, w))).otherwise(F.array().cast("array<array<string>>")))
+    return F.array_distinct(F.flatten(F.transform(sets, lambda s: F.array(F.xxhash64(F.lit("first"), F.array_join(s, " "), F.substring(hw, 1, 4)), F.xxhash64(F.lit("last"), F.array_join(s, " "), F.substring(hw, -5, 5))))))
+
+
 def candidate_headwords(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``(hw, hw2)`` of profiles that share a block. A block of deletions holds few distinct headwords, however many rows they have."""
+    """``(hw, hw2)`` of profiles that share a block. A block of deletions holds few distinct headwords, however many rows they have.
+
+    Blocks of sounds and glosses lead to pairs with more than one slip; those of glosses differ in three letters at most.
+    """
     one = left.select("hw").distinct().select("hw", F.explode_outer(_sketch(F.col("hw"))).alias("h"))
     two = right.select(F.col("hw").alias("hw2")).distinct().select("hw2", F.explode_outer(_sketch(F.col("hw2"))).alias("h"))
     by_letters = one.join(two, "h").select("hw", "hw2")
     heard = left.filter("sound_k is not null").select("hw", "sound_k").distinct().join(right.filter("sound_k is not null").select(F.col("hw").alias("hw2"), "sound_k").distinct(), "sound_k")
-    return by_letters.unionByName(heard.select("hw", "hw2")).distinct()
+    g1, g2 = (df.filter(F.size("words") > 1).select("hw", "words").distinct().select("hw", F.explode_outer(_gloss_sketch(F.col("hw"), F.col("words"))).alias("g")) for df in (left, right))
+    told = g1.join(g2.withColumnRenamed("hw", "hw2"), "g").filter(F.levenshtein("hw", "hw2") <= 3)
+    return by_letters.unionByName(heard.select("hw", "hw2")).unionByName(told.select("hw", "hw2")).distinct()
 
 
 def candidate_pairs(prof: DataFrame) -> DataFrame:
