@@ -452,7 +452,15 @@ def search_text(spark, sf):
     return search.search(search.inverted_index(table(spark, sf, "documents"), "doc_id", "DOCUMENT", "text"), "older, spell*!")
 
 
-@query()
+_CODES = "'ABCDEFGIJKLMNOPQRSTUVXYZ', '012301202245501262301202'"
+_SDX = f"""(SELECT DISTINCT resolved_id, canonical_form w, CASE WHEN upper(canonical_form[1]) IN ('H', 'W') THEN '7' ELSE translate(upper(canonical_form[1]), {_CODES}) END
+  || translate(regexp_replace(regexp_replace(upper(substr(canonical_form, 2)), '[HW]', '', 'g'), '[^A-Z]', 'A', 'g'), {_CODES}) c FROM resolved_entities WHERE canonical_form IS NOT NULL)"""
+_ONCE = "c"
+for _d in "0123456":
+    _ONCE = f"regexp_replace({_ONCE}, '{_d}+', '{_d}', 'g')"
+
+
+@query(f"""SELECT DISTINCT CASE WHEN regexp_matches(w, '^[A-Za-z]') THEN upper(w[1]) || rpad(substr(replace(substr({_ONCE}, 2), '0', ''), 1, 3), 3, '0') ELSE w END phonetic_key, 'SOUNDEX' algorithm, resolved_id target_id FROM {_SDX}""")
 def search_phonetic(spark, sf):
     return search.phonetic_index(_entities(spark, sf), "resolved_id", "canonical_form")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from verbarium.operators.hierarchy import descendants, hierarchy, taxonomy_links
 from verbarium.operators.nested import dewey_nodes, dewey_table, placed_values
 from verbarium.operators.orphans import lexical_orphans, orphan_counts
-from verbarium.operators.packed import infer_delimiters, split_packed
+from verbarium.operators.packed import CANDIDATES, infer_delimiters, split_packed
 from verbarium.sources.tables import table
 
 # ---------------------------------------------------------------- 1. hierarchies
@@ -125,6 +125,18 @@ SELECT row_key, value_pos::INT value_pos,
 FROM e
 """
 
+_CANDIDATES = ", ".join(f"({i}, {'chr(9)' if d == chr(9) else repr(d)})" for i, d in enumerate(CANDIDATES))
+_DELIMITERS = r"""
+WITH t AS (SELECT source, regexp_replace(features, '"(?:[^"]|"")*"|''(?:[^'']|'''')*''', 'Q', 'g') bare FROM (SELECT DISTINCT source, features FROM staging_inflections WHERE features IS NOT NULL)),
+c(ord, d) AS (VALUES @CANDIDATES),
+p AS (SELECT source, ord, d, instr(trim(bare, ' '), d) > 0 has, list_filter(list_transform(string_split(bare, d), lambda x: trim(x, ' ')), lambda x: x <> '') p FROM t, c),
+g AS (SELECT source, ord, d, has, len(p) k, count(*) w, sum(len(list_filter(p, lambda x: regexp_matches(x, '^[\p{L}\p{N}._-]+$')))) plain FROM p GROUP BY ALL),
+s AS (SELECT source, ord, d, sum(w) n, coalesce(sum(w) FILTER (has), 0) wi, coalesce(sum(w::DOUBLE * w) FILTER (has), 0) sq, coalesce(sum(w * k) FILTER (has), 0) pieces, coalesce(sum(plain) FILTER (has), 0) pl FROM g GROUP BY 1, 2, 3),
+r AS (SELECT source, ord, d, n, wi / n presence, coalesce(sq / nullif(wi * wi, 0), 0) consistency, coalesce(pl / nullif(pieces, 0), 0) regularity FROM s)
+SELECT source, d delimiter, n::BIGINT n_texts, round(presence, 6) presence, round(consistency, 6) consistency, round(regularity, 6) regularity, round(presence * consistency * regularity, 6) score,
+  (row_number() OVER (PARTITION BY source ORDER BY presence * consistency * regularity DESC, ord))::INT AS "rank" FROM r
+""".replace("@CANDIDATES", _CANDIDATES)
+
 # ---------------------------------------------------------------- 5. nested records
 
 _KAIKKI = ["sounds", "senses", "forms", "derived"]
@@ -197,6 +209,7 @@ FROM ids GROUP BY 1""",
     "p2_found": _ORPHANS + "SELECT DISTINCT ref_table, ref_id, ref_field, target_id, reason FROM orphans",
     "p2_by_month": _ORPHANS + "SELECT ref_table, ref_field, strftime(make_timestamp(created_at * 1000000), '%Y-%m') AS \"month\", reason, count(*) n_orphans FROM orphans GROUP BY ALL",
     "p3_staging_features": _FEATURES,
+    "p3_delimiters": _DELIMITERS,
     "p5_found": f"""
 SELECT DISTINCT * FROM (
   SELECT 'kaikki:' || record_id root_key, 'senses.glosses' field_path, a.i::INT outer_pos, b.i::INT inner_pos, b.v val
