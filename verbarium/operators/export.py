@@ -43,20 +43,21 @@ def closed_slice(lemmas: DataFrame, lexemes: DataFrame, edges: DataFrame) -> Dat
     return edges.join(ids.withColumnRenamed("node_id", "source_id"), "source_id", "left_semi").join(ids.withColumnRenamed("node_id", "target_id"), "target_id", "left_semi")
 
 
-def ontolex(lexemes: DataFrame, forms: DataFrame, most: int = 1000) -> DataFrame:
-    """``(lexeme_id, json)``: one JSON-LD entry per lexeme with its canonical and (the first ``most``) other forms.
+def ontolex(lexemes: DataFrame, forms: DataFrame, part: int = 1000) -> DataFrame:
+    """``(lexeme_id, part_no, json)``: JSON-LD entries of lexemes with their canonical and all other forms.
 
-    ``lexemes``: ``lexeme_id, lemma, pos``; ``forms``: ``lexeme_id, form_id, surface``.
+    A lexeme has one entry; one of more than ``part`` forms has ceil(forms / ``part``), each with a hash slice of
+    about that many forms, numbered from 1. ``lexemes``: ``lexeme_id, lemma, pos``; ``forms``: ``lexeme_id, form_id, surface``.
     """
-    from verbarium.operators.claims import latest
-
-    own = latest(forms.select("lexeme_id", "form_id", "surface").distinct(), ["lexeme_id"], most, [F.col("form_id")])
-    per = own.groupBy("lexeme_id").agg(F.array_sort(F.collect_list(F.struct(F.col("form_id").alias("@id"), F.col("surface").alias("writtenRep")))).alias("lexicalForm"))
+    own = forms.select("lexeme_id", "form_id", "surface").distinct()
+    many = own.groupBy("lexeme_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > part)
+    part_no = F.pmod(F.xxhash64("form_id"), F.coalesce(F.ceil(F.col("_n") / part), F.lit(1))) + 1
+    per = own.join(many, "lexeme_id", "left").groupBy("lexeme_id", part_no.alias("part_no")).agg(F.array_sort(F.collect_list(F.struct(F.col("form_id").alias("@id"), F.col("surface").alias("writtenRep")))).alias("lexicalForm"))
     entry = F.struct(
         F.col("lexeme_id").alias("@id"), F.lit("ontolex:LexicalEntry").alias("@type"), F.col("pos").alias("partOfSpeech"),
         F.struct(F.col("lemma").alias("writtenRep")).alias("canonicalForm"), F.coalesce("lexicalForm", F.array()).alias("lexicalForm"),
     )
-    return lexemes.join(per, "lexeme_id", "left").select("lexeme_id", F.to_json(entry).alias("json"))
+    return lexemes.join(per, "lexeme_id", "left").select("lexeme_id", F.coalesce("part_no", F.lit(1)).alias("part_no"), F.to_json(entry).alias("json"))
 
 
 def inventory(tables: dict[str, DataFrame]) -> DataFrame:

@@ -634,4 +634,5 @@ def export_ontolex(spark, sf):
     j = export.ontolex(lex, graph.forms_of(one, _edges(spark, sf), _form_nodes(spark, sf)))
     path = lambda p: F.get_json_object("json", p)
     n = F.size(F.from_json(path("$.lexicalForm"), "array<struct<writtenRep string>>"))
-    return j.select("lexeme_id", path("$.canonicalForm.writtenRep").alias("lemma"), path("$.partOfSpeech").alias("pos"), n.cast("long").alias("n_forms"))
+    parts = j.select("lexeme_id", path("$.canonicalForm.writtenRep").alias("lemma"), path("$.partOfSpeech").alias("pos"), n.alias("n"))
+    return parts.groupBy("lexeme_id", "lemma", "pos").agg(F.sum("n").alias("n_forms"))
