@@ -2,7 +2,27 @@
 
 import json
 
+from pyspark.sql import functions as F
+
+from verbarium.functions import text
 from verbarium.operators import export
+from verbarium.plans import catalog
+
+
+def test_all_shapes_of_features_are_decoded(spark, tmp_path):
+    lists = ['["N", "SG"]', "[]", '["a,b", " c ", "q\\"x"]', '[1, true]', '["a", ["b", "c"]]', '["a", {"k": "v"}]']
+    others = ['{"pos": "N", "number": "SG"}', '{"bundle": ["N", "SG"]}', '"N,SG"', '"N;SG"', '"{\\"pos\\": \\"N\\"}"', "N, SG,", "null", "3", "", '["a", "b"', "{x, y", ' , ', 'N,"a ""b"" c"']
+    want = {None: []}
+    for t in lists:
+        want[t] = [x if isinstance(x, str) else json.dumps(x, separators=(",", ":")) for x in json.loads(t)]
+    for t in others:
+        want[t] = [x.strip(" ") for x in t.split(",") if x.strip(" ")]
+    rows = [(str(i), t) for i, t in enumerate(want)]
+    df = spark.createDataFrame(rows, "id string, features_json string")
+    assert {r.features_json: r.x for r in df.withColumn("x", text.json_list(F.col("features_json"))).collect()} == want
+    df.write.parquet(f"{tmp_path}/raw_inflections.parquet")
+    got = catalog.QUERIES["features_json_list_whole"](spark, str(tmp_path)).collect()
+    assert {r.id: r.features for r in got} == {i: "|".join(want[t]) for i, t in rows} and len(got) == len(rows)
 
 
 def test_ontolex_writes_all_forms_of_a_large_lexeme(spark):

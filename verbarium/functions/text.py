@@ -76,7 +76,7 @@ def canonical_features(features: Column) -> Column:
 
 
 def json_list(text: Column) -> Column:
-    """A JSON string array; what is no JSON is split at commas, null gives an empty array."""
+    """A JSON array as texts; whatever is no JSON array, other JSON included, is split at commas; null gives an empty array."""
     parts = F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
     return F.coalesce(F.from_json(text, "array<string>"), parts, F.array().cast("array<string>"))
 

@@ -145,6 +145,12 @@ def features_json_list(spark, sf):
     return raw.select("id", F.array_join(tx.json_list(F.col("features_json")), "|").alias("features")).distinct()
 
 
+@query("""SELECT DISTINCT id, array_to_string(coalesce(TRY_CAST(TRY_CAST(features_json AS JSON) AS VARCHAR[]), list_filter(list_transform(string_split(features_json, ','), lambda x: trim(x, ' ')), lambda x: x <> ''), []), '|') features
+FROM raw_inflections""")
+def features_json_list_whole(spark, sf):
+    return table(spark, sf, "raw_inflections").select("id", F.array_join(tx.json_list(F.col("features_json")), "|").alias("features")).distinct()
+
+
 _SLOTS = list(dict.fromkeys((p, s) for p, s, *_ in sql.RULES))
 _INFLECTED = f"""
 base AS (SELECT DISTINCT normalized_lemma lemma, pos FROM lex WHERE pos IN ('VERB', 'ADJECTIVE', 'NOUN')),
