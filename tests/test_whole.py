@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from verbarium.functions import text
-from verbarium.operators import export
+from verbarium.operators import export, graph
 from verbarium.plans import catalog
 
 
@@ -37,3 +37,16 @@ def test_ontolex_writes_all_forms_of_a_large_lexeme(spark):
     assert sorted(got["l1"]) == sorted((f"f{i}", f"go{i}") for i in range(2345))
     assert got["l2"] == [("g1", "goals")] and got["l3"] == []
     assert sorted((r.lexeme_id, r.part_no) for r in rows) == [("l1", 1), ("l1", 2), ("l1", 3), ("l2", 1), ("l3", 1)]
+
+
+def test_word_rows_and_counts_have_no_limit(spark):
+    lex = spark.createDataFrame([("l1", "go", "VERB"), ("l2", "goal", "NOUN"), ("l3", "none", "NOUN")], "lexeme_id string, lemma string, pos string")
+    forms = spark.createDataFrame([(f"f{i}", f"go{i}") for i in range(60)], "form_id string, surface string")
+    pairs = [("l1", "HAS_FORM", f"f{i}") for i in range(60)] + [("l2", "DERIVED_FROM", "l1")] + [(f"x{i}", "DERIVED_FROM", "l1") for i in range(40)] + [("l1", "SYNONYM_OF", "l2"), ("l1", "HAS_FORM", "f1")]
+    edges = spark.createDataFrame(pairs, "source_id string, relation_type string, target_id string")
+    senses = spark.createDataFrame([("l1", f"s{i}", "move" if i else None) for i in range(30)] + [("gone", "s1", "x")], "lexeme_id string, sense_id string, definition string")
+    rows = graph.word_rows(lex, senses, edges, forms)
+    want = {("l1", "FORM", f"f{i}", f"go{i}") for i in range(60)} | {("l1", "SENSE", f"s{i}", "move" if i else None) for i in range(30)} | {("l1", "DERIVED", x, None) for x in ["l2", *[f"x{i}" for i in range(40)]]} | {("l2", "BASE", "l1", None)}
+    got = [tuple(r) for r in rows.select("lexeme_id", "kind", "id", "text").collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert {tuple(r) for r in graph.word_counts(lex, rows).select("lexeme_id", "n_senses", "n_forms", "n_links").collect()} == {("l1", 30, 60, 41), ("l2", 0, 0, 1), ("l3", 0, 0, 0)}

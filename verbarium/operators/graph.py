@@ -123,17 +123,40 @@ def explain_connection(a: str, b: str, edges: DataFrame, bridge: DataFrame, clai
     return e.join(bridge.select("relation_id", "claim_id").distinct(), "relation_id", "left").join(claims.select(F.col("id").alias("claim_id"), "source", "predicate", "object_json"), "claim_id", "left")
 
 
+def derivational_links(edges: DataFrame) -> DataFrame:
+    """``(lexeme_id, other, direction)``, distinct: DERIVED_FROM edges from both ends."""
+    d = edges.filter("relation_type = 'DERIVED_FROM'")
+    return d.select(F.col("source_id").alias("lexeme_id"), F.col("target_id").alias("other"), F.lit("BASE").alias("direction")).unionByName(d.select(F.col("target_id").alias("lexeme_id"), F.col("source_id").alias("other"), F.lit("DERIVED").alias("direction"))).distinct()
+
+
+def word_rows(lexemes: DataFrame, senses: DataFrame, edges: DataFrame, forms: DataFrame) -> DataFrame:
+    """``(lexeme_id, kind, id, text)``: all senses, forms and links of each lexeme, one distinct row each.
+
+    Kinds are SENSE (its definition), FORM (its surface), BASE and DERIVED (links, whose text is null).
+    """
+    ids = lexemes.select("lexeme_id").distinct()
+    s = senses.select("lexeme_id", F.lit("SENSE").alias("kind"), F.col("sense_id").alias("id"), F.col("definition").alias("text"))
+    k = derivational_links(edges).select("lexeme_id", F.col("direction").alias("kind"), F.col("other").alias("id"), F.lit(None).cast("string").alias("text"))
+    f = forms_of(lexemes, edges, forms).select("lexeme_id", F.lit("FORM").alias("kind"), F.col("form_id").alias("id"), F.col("surface").alias("text"))
+    return s.unionByName(k).join(ids, "lexeme_id", "left_semi").unionByName(f).distinct()
+
+
+def word_counts(lexemes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(lexeme_id, lemma, n_senses, n_forms, n_links)`` of each lexeme, counted over all of :func:`word_rows`."""
+    n = rows.groupBy("lexeme_id").agg(F.count_if(F.col("kind") == "SENSE").alias("n_senses"), F.count_if(F.col("kind") == "FORM").alias("n_forms"), F.count_if(F.col("kind").isin("BASE", "DERIVED")).alias("n_links"))
+    return lexemes.select("lexeme_id", "lemma").distinct().join(n, "lexeme_id", "left").na.fill(0, ["n_senses", "n_forms", "n_links"])
+
+
 def word_page(lexemes: DataFrame, senses: DataFrame, edges: DataFrame, forms: DataFrame, per_kind: int = 25) -> DataFrame:
-    """One row per lexeme with arrays of its senses, forms and links; at most ``per_kind`` each, in order of id.
+    """A preview: one row per lexeme with arrays of its senses, forms and links; at most ``per_kind`` each, in order of id.
 
-    Links carry their direction. The limit is taken per lexeme before rows are gathered.
+    Whole pages are :func:`word_rows`. Links carry their direction. The limit is taken per lexeme before rows are gathered.
     """
     from verbarium.operators.claims import latest
 
     s = latest(senses.select("lexeme_id", "sense_id", "definition"), ["lexeme_id"], per_kind, [F.col("sense_id")]).groupBy("lexeme_id").agg(F.array_sort(F.collect_list(F.struct("sense_id", "definition"))).alias("senses"))
     f = latest(forms_of(lexemes, edges, forms).select("lexeme_id", "form_id", "surface").distinct(), ["lexeme_id"], per_kind, [F.col("form_id")]).groupBy("lexeme_id").agg(F.array_sort(F.collect_list(F.struct("form_id", "surface"))).alias("forms"))
-    d = edges.filter("relation_type = 'DERIVED_FROM'")
-    links = d.select(F.col("source_id").alias("lexeme_id"), F.col("target_id").alias("other"), F.lit("BASE").alias("direction")).unionByName(d.select(F.col("target_id").alias("lexeme_id"), F.col("source_id").alias("other"), F.lit("DERIVED").alias("direction"))).distinct()
+    links = derivational_links(edges)
     k = latest(links, ["lexeme_id"], per_kind, [F.col("other"), F.col("direction")]).groupBy("lexeme_id").agg(F.array_sort(F.collect_list(F.struct("other", "direction"))).alias("links"))
     page = lexemes.select("lexeme_id", "lemma").join(s, "lexeme_id", "left").join(f, "lexeme_id", "left").join(k, "lexeme_id", "left")
     return page

@@ -409,6 +409,36 @@ def word_pages(spark, sf):
     return page.select("lexeme_id", "lemma", n("forms").alias("n_forms"), n("links").alias("n_links"), F.get("forms", F.lit(0))["surface"].alias("first_form"))
 
 
+_WORDS = _NODES + f""", ids AS (SELECT DISTINCT lexeme_id FROM lex), mem AS (SELECT DISTINCT {sql.uuid5("'lexeme:' || lower(trim(lemma, ' ')) || ':' || lower(trim(pos, ' '))", NS_DNS)} lexeme_id, synset_id
+  FROM staging_semantic_relations WHERE relation_type = 'MEMBER' AND lemma IS NOT NULL AND pos IS NOT NULL),
+def AS (SELECT DISTINCT synset_id, definition FROM staging_semantic_relations WHERE relation_type = 'SYNSET_DEF' AND definition IS NOT NULL),
+rows AS (SELECT DISTINCT lexeme_id, 'SENSE' kind, synset_id id, definition AS "text" FROM mem LEFT JOIN def USING (synset_id) WHERE lexeme_id IN (FROM ids)
+  UNION ALL SELECT DISTINCT lexeme_id, 'FORM', form_id, surface FROM par
+  UNION ALL SELECT DISTINCT source_id, 'BASE', target_id, NULL FROM edges WHERE relation_type = 'DERIVED_FROM' AND source_id IN (FROM ids)
+  UNION ALL SELECT DISTINCT target_id, 'DERIVED', source_id, NULL FROM edges WHERE relation_type = 'DERIVED_FROM' AND target_id IN (FROM ids))
+"""
+
+
+def _word_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Senses are the synsets that a lexeme is a MEMBER of, by the registry's key, with the definitions that these have."""
+    t = table(spark, sf, "staging_semantic_relations")
+    members = cl.crosswalk({"synsets": t.filter("relation_type = 'MEMBER'").select(F.col("synset_id").alias("id"), "lemma", "pos")})
+    defined = t.filter("relation_type = 'SYNSET_DEF' and definition is not null").select(F.col("synset_id").alias("sense_id"), "definition").distinct()
+    senses = members.select(F.col("resolved_id").alias("lexeme_id"), F.col("source_id").alias("sense_id")).join(defined, "sense_id", "left")
+    return graph.word_rows(_lex_nodes(spark, sf), senses, _edges(spark, sf), _form_nodes(spark, sf))
+
+
+@query(_WORDS + "SELECT * FROM rows")
+def word_page_rows(spark, sf):
+    return _word_rows(spark, sf)
+
+
+@query(_WORDS + """, n AS (SELECT lexeme_id, count(*) FILTER (kind = 'SENSE') s, count(*) FILTER (kind = 'FORM') f, count(*) FILTER (kind IN ('BASE', 'DERIVED')) k FROM rows GROUP BY 1)
+SELECT lexeme_id, lemma, coalesce(s, 0) n_senses, coalesce(f, 0) n_forms, coalesce(k, 0) n_links FROM (SELECT DISTINCT lexeme_id, lemma FROM lex) LEFT JOIN n USING (lexeme_id)""")
+def word_page_counts(spark, sf):
+    return graph.word_counts(_lex_nodes(spark, sf), _word_rows(spark, sf))
+
+
 # ---------------------------------------------------------------- search
 
 
