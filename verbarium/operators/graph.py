@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_DEPTH = 3
+# The relation types that a neighbourhood follows; links between synsets are no edges of the lexical tables.
+NEIGHBOUR_TYPES = ["DERIVED_FROM", "HYPERNYM", "SIMILAR", "ALSO", "HAS_FORM"]
 
 
 def adjacency(edges: DataFrame, types: list[str] | None = None, directed: bool = False) -> DataFrame:

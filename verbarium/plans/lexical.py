@@ -336,6 +336,21 @@ def graph_incident_edges(spark, sf):
     return graph.incident_edges(graph.reach(graph.adjacency(e, ["DERIVED_FROM"]), _gone(spark, sf), 1), e, 200)
 
 
+@query(_ADJ + _adj("'DERIVED_FROM'") + """w AS (SELECT root, root node, [root] path, 0 d FROM roots UNION ALL SELECT w.root, a.other, list_append(path, a.other), d + 1 FROM w JOIN adj a ON a.node = w.node WHERE d < 3 AND NOT list_contains(path, a.other))
+SELECT DISTINCT root, node, d::INT AS "depth" FROM w WHERE d > 0""")
+def graph_family_whole(spark, sf):
+    return graph.walks(graph.adjacency(_edges(spark, sf), ["DERIVED_FROM"]), _gone(spark, sf), 3).select("root", "node", "depth").distinct()
+
+
+@query(_ADJ + _adj("'DERIVED_FROM', 'HAS_FORM'") + """w AS (SELECT root, root node, 0 d FROM roots UNION SELECT w.root, a.other, d + 1 FROM w JOIN adj a ON a.node = w.node WHERE d < 3), n AS (SELECT DISTINCT root, node FROM w),
+ends AS (SELECT source_id node, id, source_id, relation_type, target_id FROM edges UNION SELECT target_id, id, source_id, relation_type, target_id FROM edges),
+x AS (SELECT DISTINCT root, id, source_id, relation_type, target_id FROM n JOIN ends USING (node))
+SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY root ORDER BY id, source_id, target_id, relation_type) r FROM x) WHERE r <= 200""")
+def graph_incident_edges_whole(spark, sf):
+    e = _edges(spark, sf)
+    return graph.incident_edges(graph.reach(graph.adjacency(e, graph.NEIGHBOUR_TYPES), _gone(spark, sf), 3), e, 200)
+
+
 @query("""WITH n AS (SELECT DISTINCT resolved_id node_id FROM resolved_entities), e AS (SELECT source_id x FROM edges UNION ALL SELECT target_id FROM edges), c AS (SELECT x, count(*) d FROM e GROUP BY 1)
 SELECT node_id, coalesce(d, 0) degree FROM n LEFT JOIN c ON x = node_id""")
 def graph_degrees(spark, sf):
