@@ -61,3 +61,11 @@ def test_family_and_neighbourhood_reach_depth_three(spark, tmp_path):
     # reached: l1, l2, l3, l4 and f1; not l5, l9, f2
     near = catalog.QUERIES["graph_incident_edges_whole"](spark, str(tmp_path)).collect()
     assert sorted((r.root, r.id) for r in near) == [("l1", f"e{i}") for i in range(7)]
+
+
+def test_stated_derivations_and_other_parts_of_speech_are_not_inferred(spark, tmp_path):
+    words = [("1", "run", "v"), ("2", "rerun", "v"), ("3", "happy", "a"), ("4", "unhappy", "a"), ("5", "play", "n"), ("6", "replay", "v"), ("7", "bake", "v"), ("8", "bakable", "a")]
+    spark.createDataFrame([(i, w, p, "LEXEME") for i, w, p in words], "resolved_id string, canonical_form string, pos string, entity_type string").write.parquet(f"{tmp_path}/resolved_entities.parquet")
+    spark.createDataFrame([("4", "DERIVED_FROM", "3"), ("2", "SYNONYM_OF", "1")], "source_id string, relation_type string, target_id string").write.parquet(f"{tmp_path}/edges.parquet")
+    got = catalog.QUERIES["inferred_derivations_registered"](spark, str(tmp_path)).collect()
+    assert sorted((r.subject_id, r.object_id) for r in got) == [("2", "1"), ("8", "7")]

@@ -207,6 +207,24 @@ def inferred_derivations(spark, sf):
     return inference.infer_derivations(lex, none).select("id", "subject_id", "object_id", "rule", "base_lemma")
 
 
+_REGISTERED = f"""WITH lx AS (SELECT DISTINCT resolved_id id, lower(trim(canonical_form, ' ')) w, CASE lower(trim(pos, ' ')) {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in tx.POS_TAGS.items())} END p
+  FROM resolved_entities WHERE entity_type = 'LEXEME'),
+c AS (SELECT id subject_id, 'PREFIX_RE_VERB' rule, regexp_extract(w, '^re([a-z]+)$', 1) s, 'VERB' bp, false sfx FROM lx WHERE p = 'VERB'
+  UNION ALL SELECT id, 'PREFIX_UN_ADJ', regexp_extract(w, '^un([a-z]+)$', 1), 'ADJECTIVE', false FROM lx WHERE p = 'ADJECTIVE'
+  UNION ALL SELECT id, 'SUFFIX_ABLE_VERB_TO_ADJ', regexp_extract(w, '^([a-z]+)able$', 1), 'VERB', true FROM lx WHERE p = 'ADJECTIVE'),
+t AS (SELECT subject_id, rule, bp, s, 0 t FROM c WHERE len(s) >= 3 UNION ALL SELECT subject_id, rule, bp, s || 'e', 1 FROM c WHERE len(s) >= 3 AND sfx),
+b AS (SELECT subject_id, rule, arg_min(row(lx.id, s), row(t, lx.id, s)) b FROM t JOIN lx ON lx.w = s AND lx.p = bp GROUP BY 1, 2),
+d AS (SELECT subject_id, b[1] object_id, rule, b[2] base_lemma FROM b)
+"""
+
+
+@query(_REGISTERED + f"""SELECT {sql.uuid5("'rel:inferred:' || subject_id || ':' || object_id")} id, * FROM d WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE relation_type = 'DERIVED_FROM' AND e.source_id = d.subject_id AND e.target_id = d.object_id)""")
+def inferred_derivations_registered(spark, sf):
+    lex = _lex_nodes(spark, sf).select(F.col("lexeme_id").alias("id"), F.lower(F.trim("lemma")).alias("normalized_lemma"), tx.map_pos(F.col("pos")).alias("pos")).distinct()
+    stated = _edges(spark, sf).filter("relation_type = 'DERIVED_FROM'").select(F.col("source_id").alias("subject_id"), F.col("target_id").alias("object_id"))
+    return inference.infer_derivations(lex, stated).select("id", "subject_id", "object_id", "rule", "base_lemma")
+
+
 # ---------------------------------------------------------------- resolution
 
 
