@@ -48,7 +48,7 @@ def test_rates_meet_expected_totals(spark):
     import pandas as pd
 
     plan = mixing.fit_mixture(spark.createDataFrame(rows, "doc_id long, source string, n_tokens int, post binary"), pd.DataFrame({"source": ["a", "b"], "target_share": [0.6, 0.4], "max_repeats": [3, 3]}), total=60_000, soft=1e-3)
-    r = plan.rates(s, post)
+    r, _ = plan.rates(s, post)
     assert r.min() >= 0 and r.max() <= 3
     assert (r * tok)[s == 0].sum() == pytest.approx(36_000, rel=1e-3) and (r * tok)[s == 1].sum() == pytest.approx(24_000, rel=1e-3)
     assert (r * tok) @ post[:, 0] == pytest.approx(36_000, rel=0.02)
@@ -72,3 +72,31 @@ def test_nothing_to_mix(spark):
     assert mixing.mixture(d, t.limit(0)).count() == 0
     empty = mixing.mixture(d.limit(0), t)
     assert empty.count() == 0 and mixing.shares(empty, t).first().tokens_used == 0
+
+
+def test_one_oversized_document(spark):
+    """A document larger than its source's whole part must not push the small ones out."""
+    d = spark.createDataFrame([(0, "word " * 5000, "a", 0, 0.0)] + [(i, f"red stone {i} " * (3 + i % 9), "ab"[i % 2], 0, 0.0) for i in range(1, 200)], DOCS)
+    t = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], TARGETS)
+    m = mixing.mixture(d, t)
+    for r in mixing.shares(m, t).collect():
+        assert r.actual_share == pytest.approx(r.due_share, abs=0.005)
+
+
+def test_unlabelled_documents_take_part(spark):
+    rows = [(i, b, s if i % 3 else None, 0, 0.0) for i, b, s, _, _ in documents(900)]
+    t = spark.createDataFrame([("a", 0.4, 1), ("b", 0.4, 2), ("c", 0.2, 3)], TARGETS)
+    d = spark.createDataFrame(rows, DOCS)
+    got = mixing.mixture(d, t, unlabelled=True).collect()
+    free = [r for r in got if r.source is None and r.n_tokens]
+    assert len(got) == len(rows) and any(r.copies for r in free) and max(r.copies for r in free) <= 3
+    assert all(r.source not in (None, "other") for r in mixing.mixture(d, t).collect())
+    for r in mixing.fit_report(d, t, unlabelled=True).filter("condition = 'label'").collect():
+        assert r.fitted_tokens == pytest.approx(r.goal_tokens, rel=0.01)
+
+
+def test_contradicting_targets(spark):
+    d = spark.createDataFrame(documents(100), DOCS)
+    t = spark.createDataFrame([("a", 0.2, 1), ("A ", 0.6, 1), ("b", 0.4, 1), ("b", 0.4, 1)], TARGETS)
+    used = {s: sum(r.n_tokens * r.copies for r in mixing.mixture(d, t).collect() if r.source == s) for s in "ab"}
+    assert used["a"] / (used["a"] + used["b"]) == pytest.approx(0.6, abs=0.02)

@@ -1,10 +1,11 @@
 """Mixing sources to target weights by soft membership.
 
 A classifier fitted on a bounded sample of labelled documents gives every document a posterior over the
-sources. Document rates between 0 and the source's repeat cap are then fitted by projected gradient least
-squares: the token total of each source, by label, must be its target, and the expected total by posterior
-should be. Rates follow from one multiplier per condition, so an iteration is one pass that adds up a few
-numbers; no rate is stored on the way. Rates become whole copies by systematic rounding.
+sources. One pass adds up the tokens of documents alike in label and posterior, exactly, in cells of bounded number;
+nonnegative document rates, one per cell and at most the source's repeat cap, are then fitted by projected gradient
+least squares: the token total of each source, by label, must be its target, and the total expected under the
+posteriors should be. Rates become whole copies by carrying the tokens that rounding leaves over from document to
+document.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verbarium.lineage import cut, drop
@@ -24,50 +25,52 @@ from verbarium.shipping import ship
 #: Token ids are counted in so many buckets by the classifier.
 BUCKETS = 4096
 #: Documents per source that the classifier is fitted on, about.
-TRAIN_PER_SOURCE = 2000
-#: Sources a mixture may have; their numbers are held on the driver.
-MAX_SOURCES = 200
-#: Documents per bucket of the rounding, about.
+TRAIN_PER_SOURCE = 1000
+#: Sources a mixture may have; the driver holds at most MAX_SOURCES ** 2 * BINS cells of MAX_SOURCES numbers.
+MAX_SOURCES = 100
+#: Bins of the likeliest source's probability; documents of one label, likeliest source and bin share a rate.
+BINS = 8
+#: Documents per group of the rounding, about.
 ROUND_GROUP = 20_000
-#: Documents per source whose copies are changed by one after the rounding, at most.
-EVEN_ROUNDS = 8
+#: Gradient steps; a fit that has not settled by then is an error.
+ROUNDS = 100_000
 
 
 def clean_source(source: Column) -> Column:
     return F.lower(F.regexp_replace(source, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
 
 
-def tokenized(documents: DataFrame, doc_id: str, text: str, source: str, ranks: str = tokens.RANKS) -> DataFrame:
-    """``(doc_id, source, n_tokens, tokens)``; null texts have no tokens."""
-    ship(documents.sparkSession)
-    kind = documents.schema[doc_id].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = tokens.encoding(ranks)
-        for b in batches:
-            ids = [tokens.encode(enc, t) if t is not None else [] for t in b["t"]]
-            yield pd.DataFrame({"doc_id": b["k"], "source": b["s"], "n_tokens": [len(i) for i in ids], "tokens": [np.asarray(i, np.int32) for i in ids]})
-
-    rows = documents.select(documents[doc_id].alias("k"), clean_source(documents[source]).alias("s"), documents[text].alias("t")).filter("k is not null")
-    return spread(rows).mapInPandas(run, f"doc_id {kind}, source string, n_tokens int, tokens array<int>")
+def _rows(documents: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    return documents.select(documents[doc_id].alias("doc_id"), clean_source(documents[source]).alias("source"), documents[text].alias("t")).filter("doc_id is not null")
 
 
-def fit_classifier(docs: DataFrame, sources: list[str], per_source: int = TRAIN_PER_SOURCE) -> np.ndarray:
+def fit_classifier(rows: DataFrame, sources: list[str], ranks: str = tokens.RANKS, per_source: int = TRAIN_PER_SOURCE) -> np.ndarray:
     """Naive Bayes log probabilities ``[source, bucket]`` from about ``per_source`` labelled documents a source.
 
-    The sample is drawn by hash of the id, so it is the same at every run. A source without documents has the
-    same probability for every bucket.
+    The sample is drawn by hash of the id, so it is the same at every run; only it is tokenised here. A source
+    without documents has the same probability for every bucket.
     """
-    counts = {r.source: r.n for r in docs.filter(F.col("source").isin(sources) & (F.col("n_tokens") > 0)).groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labelled = rows.filter(F.col("source").isin(sources) & (F.col("t") != ""))
+    counts = {r.source: r.n for r in labelled.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
     weights = np.ones((len(sources), BUCKETS))
     if counts:
         share = F.create_map(*[x for s, n in counts.items() for x in (F.lit(s), F.lit(min(1.0, per_source / n)))])
-        sample = docs.filter(F.col("source").isin(list(counts))).filter(F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1_000_000)) < F.try_element_at(share, F.col("source")) * 1_000_000)
-        # at most MAX_SOURCES * BUCKETS rows
-        rows = sample.select("source", F.explode("tokens").alias("t")).groupBy("source", F.pmod("t", F.lit(BUCKETS)).alias("b")).count().collect()
+        sample = labelled.filter(F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1_000_000)) < F.try_element_at(share, F.col("source")) * 1_000_000)
         at = {s: i for i, s in enumerate(sources)}
-        for r in rows:
-            weights[at[r.source], r.b] += r["count"]
+
+        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            enc, seen = tokens.encoding(ranks), {}
+            for b in batches:
+                for s, t in zip(b["source"], b["t"]):
+                    mine = seen.setdefault(s, np.zeros(BUCKETS))
+                    np.add.at(mine, np.asarray(tokens.encode(enc, t), np.int64) % BUCKETS, 1)
+            for s, v in seen.items():
+                k = np.flatnonzero(v)
+                yield pd.DataFrame({"source": s, "b": k, "n": v[k]})
+
+        # at most MAX_SOURCES * BUCKETS rows
+        found = spread(sample).mapInPandas(count, "source string, b int, n double").groupBy("source", "b").agg(F.sum("n").alias("n")).toPandas()
+        np.add.at(weights, (found["source"].map(at).to_numpy(int), found["b"].to_numpy(int)), found["n"].to_numpy(float))
     return np.log(weights / weights.sum(axis=1, keepdims=True))
 
 
@@ -81,31 +84,36 @@ def posteriors(ids: np.ndarray, log_p: np.ndarray) -> np.ndarray:
     return z / z.sum()
 
 
-def _scored(docs: DataFrame, sources: list[str], log_p: np.ndarray) -> DataFrame:
-    """``(doc_id, source, n_tokens, post)``; ``post`` packs one double per source."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(log_p)  # MAX_SOURCES * BUCKETS doubles at most
+def _scored(rows: DataFrame, sources: list[str], log_p: np.ndarray, ranks: str) -> DataFrame:
+    """``(doc_id, source, n_tokens, post)``; ``post`` packs one double per source. Each text is tokenised once; null texts have no tokens."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    shared = rows.sparkSession.sparkContext.broadcast(log_p)  # MAX_SOURCES * BUCKETS doubles at most
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enc = tokens.encoding(ranks)
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "n_tokens": b["n_tokens"], "post": [posteriors(np.asarray(t), shared.value).tobytes() for t in b["tokens"]]})
+            ids = [np.asarray(tokens.encode(enc, t), np.int64) if t is not None else np.zeros(0, np.int64) for t in b["t"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "n_tokens": [len(i) for i in ids], "post": [posteriors(i, shared.value).tobytes() for i in ids]})
 
-    return docs.mapInPandas(run, f"doc_id {kind}, source string, n_tokens int, post binary")
+    return spread(rows).mapInPandas(run, f"doc_id {kind}, source string, n_tokens int, post binary")
 
 
 def _targets(targets: DataFrame) -> pd.DataFrame:
-    rows = targets.select(clean_source(F.col("source")).alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("int")).filter("source is not null").distinct().limit(MAX_SOURCES + 1).toPandas()
+    rows = targets.select(clean_source(F.col("source")).alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("int")).filter("source is not null")
+    # of several rows of a source the one with the largest share, then cap, holds
+    rows = rows.groupBy("source").agg(F.max(F.struct(F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.coalesce("max_repeats", F.lit(0)).alias("max_repeats"))).alias("m")).select("source", "m.*")
+    rows = rows.filter("target_share > 0 and max_repeats > 0").limit(MAX_SOURCES + 1).toPandas()
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    rows = rows[(rows.target_share.fillna(0) > 0) & (rows.max_repeats.fillna(0) > 0)].drop_duplicates("source")
     return rows.sort_values("source").reset_index(drop=True)
 
 
 def membership(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", ranks: str = tokens.RANKS) -> DataFrame:
     """``(doc_id, source, n_tokens, likely, probability)``: every document's likeliest source, labelled or not."""
     names = list(_targets(targets).source)
-    docs = cut(tokenized(documents, doc_id, text, source, ranks))
-    scored = _scored(docs, names, fit_classifier(docs, names))
+    ship(documents.sparkSession)
+    rows = _rows(documents, doc_id, text, source)
+    scored = _scored(rows, names, fit_classifier(rows, names, ranks), ranks)
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -113,166 +121,215 @@ def membership(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id",
             k = p.argmax(axis=1) if p.shape[1] else np.zeros(0, int)
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "n_tokens": b["n_tokens"], "likely": [names[i] for i in k], "probability": p[np.arange(len(b)), k]})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = rows.schema["doc_id"].dataType.simpleString()
     if not names:
         return scored.selectExpr("doc_id", "source", "n_tokens", "cast(null as string) likely", "cast(null as double) probability")
     return scored.mapInPandas(best, f"doc_id {kind}, source string, n_tokens int, likely string, probability double")
 
 
 class Plan:
-    """The fitted mixture: what a document's rate is made of."""
+    """The fitted mixture: a rate for each (label, likeliest source, bin), and how well the conditions hold."""
+
+    def __init__(self, names: list[str], caps: np.ndarray, goal: np.ndarray) -> None:
+        n = len(names)
+        self.names, self.caps, self.goal = names, caps, goal
+        self.by_cell = np.zeros((n + 1, n, BINS))
+        self.got, self.rounds = np.zeros(2 * n), 0
 
-    def __init__(self, names, base, caps, goal, multipliers) -> None:
-        self.names, self.base, self.caps, self.goal, self.multipliers = names, base, caps, goal, multipliers
+    def cells(self, source: np.ndarray, post: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The cell of each document; label -1 is none of the sources."""
+        top = post.max(axis=1, initial=0.0)
+        return source, post.argmax(axis=1), np.minimum((top * BINS).astype(int), BINS - 1)
 
-    def rates(self, source: np.ndarray, post: np.ndarray) -> np.ndarray:
-        """Rates in [0, cap]: the source's base rate moved along the multipliers and projected back."""
-        n = len(self.names)
-        move = self.multipliers[:n][source] + post @ self.multipliers[n:]
-        return np.clip(self.base[source] * (1 + move), 0, self.caps[source])
+    def rates(self, source: np.ndarray, post: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rate and cap of each document; one without a label has the cap of its likeliest source."""
+        s, k, b = self.cells(source, post)
+        return self.by_cell[s, k, b], self.caps[np.where(s < 0, k, s)]
 
 
-def fit_mixture(scored: DataFrame, targets: pd.DataFrame, total: float | None = None, rounds: int = 15, soft: float = 0.05, tolerance: float = 1e-4) -> Plan:
+def _arrays(b: pd.DataFrame, at: dict[str, int], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return b["source"].map(at).fillna(-1).to_numpy(int), np.frombuffer(b"".join(b["post"]), dtype=float).reshape(len(b), n), b["n_tokens"].to_numpy(float)
+
+
+def _cells(scored: DataFrame, plan: Plan) -> pd.DataFrame:
+    """``(s, k, b, v)``: per cell the sum of its documents' tokens times their posteriors, in one pass."""
+    n, at = len(plan.names), {s: i for i, s in enumerate(plan.names)}
+    kind = "s int, k int, b int, v binary"
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((n + 1, n, BINS, n))
+        for b in batches:
+            s, p, tok = _arrays(b, at, n)
+            np.add.at(sums, plan.cells(s, p), p * tok[:, None])
+        s, k, b = np.nonzero(sums.any(axis=3))
+        yield pd.DataFrame({"s": np.where(s == n, -1, s), "k": k, "b": b, "v": [x.tobytes() for x in sums[s, k, b]]})
+
+    def add(g: pd.DataFrame) -> pd.DataFrame:  # a group has one row per partition
+        return g.head(1).assign(v=[np.sum([np.frombuffer(x) for x in g["v"]], axis=0).tobytes()])
+
+    return scored.filter("n_tokens > 0").select("source", "n_tokens", "post").mapInPandas(part, kind).groupBy("s", "k", "b").applyInPandas(add, kind).toPandas()
+
+
+def fit_mixture(scored: DataFrame, targets: pd.DataFrame, total: float | None = None, rounds: int = ROUNDS, hard: float = 100.0, soft: float = 0.01, tolerance: float = 1e-6) -> Plan:
     """Rates whose token totals meet the targets.
 
     ``total``: tokens of the mixture; by default the most at which every source that has documents can give its
-    share within its cap. Conditions are the totals by label (exact) and by posterior (least squares, with
-    weight ``soft`` against moving rates). Each round projects rates into their box and takes a gradient step
-    preconditioned by the Gram matrix of the documents inside it.
+    share within its cap. Conditions, all relative to their goals and in least squares: the total of each source
+    by label, or by posterior for documents without one, with weight ``hard``, as shares of sources are what is asked
+    for; the total of each source by posterior, with weight 1; and, with weight ``soft``, equal rates within a source. Each step goes
+    down the gradient of the rates, with momentum, and projects them into [0, cap]. The fit has settled when a
+    step moves no rate by more than ``tolerance`` of its source's even rate; if it does not within ``rounds``, an
+    error is raised. Last, the rates of a source are scaled to its total, within the caps.
     """
     names = list(targets.source)
     n = len(names)
-    have = {r.source: r.t for r in scored.filter(F.col("source").isin(names)).groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
-    tokens_of = np.array([float(have.get(s) or 0) for s in names])
-    share = targets.target_share.to_numpy(float)
-    caps = targets.max_repeats.to_numpy(float)
-    share = np.where(tokens_of > 0, share, 0.0)
+    caps, share = targets.max_repeats.to_numpy(float), targets.target_share.to_numpy(float)
+    plan = Plan(names, caps, np.zeros(n))
+    cells = _cells(scored, plan).sort_values(["s", "k", "b"])
+    if not len(cells):
+        return plan
+    s, k = cells["s"].to_numpy(int), cells["k"].to_numpy(int)
+    soft_tokens = np.array([np.frombuffer(v) for v in cells["v"]])
+    weight = soft_tokens.sum(axis=1)
+    member = np.where((s < 0)[:, None], soft_tokens, np.eye(n)[s] * weight[:, None])
+    have = member[s >= 0].sum(axis=0)
+    share = np.where(have > 0, share, 0.0)
     if not share.sum():
-        return Plan(names, np.zeros(n), caps, np.zeros(n), np.zeros(2 * n))
+        return plan
     share = share / share.sum()
-    most = (caps * tokens_of)[share > 0] / share[share > 0]
-    total = most.min() if total is None else min(total, most.min())
-    goal = share * total
-    base = np.divide(goal, tokens_of, out=np.zeros(n), where=tokens_of > 0)
-    lam = np.zeros(2 * n)
-    want = np.concatenate([goal, goal])
-    ridge = np.concatenate([np.full(n, 1e-9), np.full(n, soft)])
-    plan = Plan(names, base, caps, goal, lam)
-    at = {s: i for i, s in enumerate(names)}
-    rows = scored.filter(F.col("source").isin(names) & (F.col("n_tokens") > 0)).select("source", "n_tokens", "post")
-    scale = np.where(want > 0, want, total)
-
-    def passed(multipliers):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            sums, gram = np.zeros(2 * n), np.zeros((2 * n, 2 * n))
-            here = Plan(names, base, caps, goal, multipliers)
-            for b in batches:
-                s = b["source"].map(at).to_numpy(int)
-                p = np.frombuffer(b"".join(b["post"]), dtype=float).reshape(len(b), n)
-                a = np.hstack([np.eye(n)[s], p])
-                r, tok = here.rates(s, p), b["n_tokens"].to_numpy(float)
-                sums += (r * tok) @ a
-                free = (r > 0) & (r < caps[s])
-                w = np.where(free, base[s] * tok, 0.0)
-                gram += a.T @ (a * w[:, None])
-            yield pd.DataFrame({"v": [np.concatenate([sums, gram.ravel()]).tobytes()]})
-
-        parts = rows.mapInPandas(run, "v binary")
-        # one row per partition; they are added in a tree, so the driver gets one
-        return np.frombuffer(bytes(parts.rdd.map(lambda x: bytes(x.v)).treeReduce(lambda x, y: (np.frombuffer(x) + np.frombuffer(y)).tobytes(), 3)), dtype=float)
-
-    for _ in range(rounds):
-        got = passed(plan.multipliers)
-        sums, gram = got[: 2 * n], got[2 * n :].reshape(2 * n, 2 * n)
-        gradient = (want - sums) / scale - ridge * plan.multipliers
-        if np.abs(gradient).max() < tolerance:
+    total = min(x for x in (total, ((caps * have)[share > 0] / share[share > 0]).min()) if x is not None)
+    plan.goal = goal = share * total
+    even = np.divide(goal, member.sum(axis=0), out=np.zeros(n), where=share > 0)
+    base = np.where(s < 0, soft_tokens @ even / weight, even[s])
+    live = base > 0
+    # in units of the even rates; conditions without a goal are relative to the total
+    scale = np.where(goal > 0, goal, total)
+    a = (np.hstack([member, soft_tokens]) * base[:, None])[live] / np.tile(scale, 2)
+    want = np.tile(goal / scale, 2)
+    importance = np.repeat([hard, 1.0], n)
+    part = (weight * base)[live] / total
+    most = caps[np.where(s < 0, k, s)][live] / base[live]
+
+    def gradient(x: np.ndarray) -> np.ndarray:
+        return (a @ (importance * (x @ a - want)) + soft * part * (x - 1)) / part
+
+    whitened = a / np.sqrt(part)[:, None] * np.sqrt(importance)
+    step = 1 / (np.linalg.eigvalsh(whitened.T @ whitened)[-1] + soft)
+    x = y = np.minimum(1.0, most)
+    t = 1.0
+    for plan.rounds in range(1, rounds + 1):
+        down = gradient(y)
+        new = np.clip(y - step * down, 0, most)
+        if (part * down) @ (new - x) > 0:  # the momentum leads uphill
+            t = 1.0
+        t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+        y = new + (before - 1) / t * (new - x)
+        moved, x = np.abs(new - x).max(initial=0.0), new
+        if moved < tolerance:
             break
-        h = gram / scale[:, None] + np.diag(ridge + 1e-9)
-        plan.multipliers = plan.multipliers + np.linalg.lstsq(h, gradient, rcond=None)[0]
+    else:
+        raise RuntimeError(f"the mixture has not settled after {rounds} steps")
+    rate = np.zeros(len(s))
+    rate[live] = x * base[live]
+    cap = caps[np.where(s < 0, k, s)]
+    for _ in range(50):
+        factor = np.divide(goal, rate @ member, out=np.ones(n), where=rate @ member > 0)
+        rate = np.where(s < 0, rate, np.minimum(rate * factor[s], cap))
+    plan.got = rate @ np.hstack([member, soft_tokens])
+    plan.by_cell[s, k, cells["b"].to_numpy(int)] = rate
     return plan
 
 
-def mixture(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", ranks: str = tokens.RANKS, total: float | None = None) -> DataFrame:
-    """``(doc_id, source, n_tokens, rate, copies)`` for the documents of the target sources.
+def _rounded(group: pd.DataFrame) -> pd.DataFrame:
+    """Whole copies of one group's rates, so that its tokens come out as the rates have it.
 
-    ``targets`` has ``source, target_share, max_repeats``; sources compare trimmed and in lower case. Copies
-    never exceed ``max_repeats``. A target without documents gives nothing and the others keep their
-    proportions; targets without a positive share or cap are left out. Documents with a null source, or of no
-    target, are in no mixture (see :func:`membership`); null and empty texts have no tokens and no copies.
-    Repeated document rows are documents of their own. With no usable target no rows come out.
+    From the longest document on, each gets the whole number next above or below its rate, at most its cap,
+    that comes nearest to the tokens due so far, but no more than the later ones can make up for by getting less.
+    What is left over is carried on, so that short documents even out what long ones leave.
     """
+    g = group.sort_values(["n_tokens", "doc_id"], ascending=[False, True])
+    rate, size, cap = g["rate"].to_numpy(float), g["n_tokens"].to_numpy(float), g["cap"].to_numpy(float)
+    copies, due, rest = np.zeros(len(g), np.int64), 0.0, float(rate @ size)
+    for i in range(len(g)):
+        if size[i] <= 0:
+            continue
+        due, rest = due + rate[i] * size[i], rest - rate[i] * size[i]
+        low = np.floor(rate[i] + 1e-9)
+        near = min(np.floor(due / size[i] + 0.5), np.floor((due + rest + 0.5 * size[-1]) / size[i]))
+        copies[i] = int(min(cap[i], max(low, min(low + 1, near))))
+        due -= copies[i] * size[i]
+    return pd.DataFrame({"doc_id": g["doc_id"].to_numpy(), "source": g["source"].to_numpy(), "n_tokens": g["n_tokens"].to_numpy(), "rate": np.round(rate, 6), "copies": copies})
+
+
+def _planned(documents: DataFrame, targets: DataFrame, doc_id: str, text: str, source: str, ranks: str, total: float | None, unlabelled: bool) -> tuple[DataFrame, Plan]:
     wanted = _targets(targets)
     names = list(wanted.source)
-    if not names:
-        kind = documents.schema[doc_id].dataType.simpleString()
+    ship(documents.sparkSession)
+    rows = _rows(documents, doc_id, text, source)
+    mine = rows if unlabelled else rows.filter(F.col("source").isin(names))
+    scored = cut(_scored(mine, names, fit_classifier(rows, names, ranks), ranks))
+    return scored, fit_mixture(scored, wanted, total)
+
+
+def mixture(
+    documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", ranks: str = tokens.RANKS, total: float | None = None, unlabelled: bool = False,
+) -> DataFrame:
+    """``(doc_id, source, n_tokens, rate, copies)`` for the documents of the target sources.
+
+    ``targets`` has ``source, target_share, max_repeats``; sources compare trimmed and in lower case, and of
+    several rows of one source that with the largest share holds. Copies never exceed ``max_repeats``. A target
+    without documents gives nothing and the others keep their proportions; targets without a positive share or
+    cap are left out. With ``unlabelled``, documents with a null source or of no target take part by their
+    posteriors, with the cap of their likeliest source; without, they are left out (see :func:`membership`). Null and
+    empty texts have no tokens and no copies. Repeated document rows are documents of their own. With no usable
+    target no rows come out.
+    """
+    kind = documents.schema[doc_id].dataType.simpleString()
+    if not len(_targets(targets)):
         return documents.sparkSession.createDataFrame([], f"doc_id {kind}, source string, n_tokens int, rate double, copies int")
-    docs = cut(tokenized(documents, doc_id, text, source, ranks))
-    scored = cut(_scored(docs, names, fit_classifier(docs, names)))
-    drop(docs)
-    plan = fit_mixture(scored, wanted, total)
-    at = {s: i for i, s in enumerate(names)}
-    kind = scored.schema["doc_id"].dataType.simpleString()
+    scored, plan = _planned(documents, targets, doc_id, text, source, ranks, total, unlabelled)
+    n, at = len(plan.names), {s: i for i, s in enumerate(plan.names)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            s = b["source"].map(at).to_numpy(int)
-            p = np.frombuffer(b"".join(b["post"]), dtype=float).reshape(len(b), len(names))
-            rate = np.where(b["n_tokens"].to_numpy() > 0, plan.rates(s, p), 0.0) if len(b) else np.zeros(0)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "n_tokens": b["n_tokens"], "rate": rate})
-
-    rated = scored.filter(F.col("source").isin(names)).mapInPandas(run, f"doc_id {kind}, source string, n_tokens int, rate double")
-    sizes = {r.source: r.n for r in scored.filter(F.col("source").isin(names)).groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
-    slices = F.create_map(*[x for s, n in sizes.items() for x in (F.lit(s), F.lit(-(-n // ROUND_GROUP)))]) if sizes else F.create_map(F.lit(""), F.lit(1))
-    # within a slice documents stand by size, so that rounding neither favours long nor short ones
-    rated = rated.withColumn("_slice", F.pmod(F.xxhash64("doc_id"), F.try_element_at(slices, F.col("source"))))
-    order = Window.partitionBy("source", "_slice").orderBy("n_tokens", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    upto = rated.withColumn("_sum", F.round(F.sum("rate").over(order), 9))
-    start = F.pmod(F.xxhash64("source", "_slice"), F.lit(1000)) / 1000
-    cap = F.create_map(*[x for s, c in zip(names, plan.caps) for x in (F.lit(s), F.lit(int(c)))]) if names else F.create_map(F.lit(""), F.lit(0))
-    copies = F.floor(F.col("_sum") + start) - F.floor(F.round(F.col("_sum") - F.col("rate"), 9) + start)
-    capped = F.least(copies, F.try_element_at(cap, F.col("source"))).cast("int")
-    rounded = cut(upto.select("doc_id", "source", "n_tokens", F.round("rate", 6).alias("rate"), capped.alias("copies")))
+            s, p, tok = _arrays(b, at, n)
+            rate, cap = plan.rates(s, p)
+            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "n_tokens": b["n_tokens"], "rate": np.where(tok > 0, rate, 0.0), "cap": cap})
+
+    rated = scored.mapInPandas(run, f"doc_id {kind}, source string, n_tokens int, rate double, cap double")
+    sizes = {r.source: r.n for r in scored.groupBy("source").agg(F.count(F.lit(1)).alias("n")).filter(F.col("source").isin(plan.names)).collect()}
+    rest = scored.filter(~F.coalesce(F.col("source").isin(plan.names), F.lit(False))).count() if unlabelled else 0
+    parts = F.create_map(*[x for s, k in ({"": rest} | sizes).items() for x in (F.lit(s), F.lit(-(-k // ROUND_GROUP) or 1))])
+    label = F.when(F.col("source").isin(plan.names), F.col("source")).otherwise("")
+    rated = rated.withColumn("_label", label).withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.try_element_at(parts, F.col("_label"))))
+    # a group holds about ROUND_GROUP documents, without their texts
+    return rated.groupBy("_label", "_part").applyInPandas(_rounded, f"doc_id {kind}, source string, n_tokens int, rate double, copies int")
+
+
+def fit_report(documents: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", ranks: str = tokens.RANKS, total: float | None = None, unlabelled: bool = False) -> DataFrame:
+    """``(source, condition, goal_tokens, fitted_tokens, rounds)``: how well the rates meet each condition, ``label`` or ``posterior``."""
+    kind = "source string, condition string, goal_tokens double, fitted_tokens double, rounds int"
+    if not len(_targets(targets)):
+        return documents.sparkSession.createDataFrame([], kind)
+    scored, plan = _planned(documents, targets, doc_id, text, source, ranks, total, unlabelled)
     drop(scored)
-    return _evened(rounded, plan)
+    n = len(plan.names)
+    rows = [(s, c, float(plan.goal[i]), float(plan.got[k * n + i]), plan.rounds) for k, c in enumerate(("label", "posterior")) for i, s in enumerate(plan.names)]
+    return documents.sparkSession.createDataFrame(rows, kind)
 
 
-def _evened(rounded: DataFrame, plan: Plan, rounds: int = EVEN_ROUNDS) -> DataFrame:
-    """Brings each source nearer to its goal: each round one copy of one document of a source is added or taken away.
+def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per target: what it has, what is used, the share asked for, the share due and the share reached.
 
-    It is the longest document that does not overshoot. A round is one aggregate with one row per source.
+    The share due is that asked for, rescaled to the targets that have tokens. Documents of no target count in
+    no source's tokens.
     """
-    used = {r.source: r.t for r in rounded.groupBy("source").agg(F.sum(F.col("n_tokens").cast("long") * F.col("copies")).alias("t")).collect()}
-    gap = {s: round(g) - (used.get(s) or 0) for s, g in zip(plan.names, plan.goal) if s in used}
-    caps = {s: int(c) for s, c in zip(plan.names, plan.caps)}
-    flips: list[tuple] = []
-    for _ in range(rounds):
-        open_ = {s: g for s, g in gap.items() if g}
-        if not open_:
-            break
-        of = lambda d: F.try_element_at(F.create_map(*[x for s in open_ for x in (F.lit(s), F.lit(d[s]))]), F.col("source"))
-        g = of(open_)
-        fits = (F.col("n_tokens") > 0) & (F.col("n_tokens") <= F.abs(g)) & F.when(g > 0, F.col("copies") < of(caps)).otherwise(F.col("copies") > 0)
-        best = rounded.filter(F.col("source").isin(list(open_)) & fits & ~F.col("doc_id").isin([f[0] for f in flips])).groupBy("source").agg(F.max(F.struct("n_tokens", "doc_id")).alias("b")).collect()
-        if not best:
-            break
-        for r in best:
-            way = 1 if gap[r.source] > 0 else -1
-            gap[r.source] -= way * r.b.n_tokens
-            flips.append((r.b.doc_id, way))
-    if not flips:
-        return rounded
-    kind = rounded.schema["doc_id"].dataType.simpleString()
-    moves = F.broadcast(rounded.sparkSession.createDataFrame(flips, f"doc_id {kind}, _way int"))  # MAX_SOURCES * EVEN_ROUNDS rows at most
-    return rounded.join(moves, "doc_id", "left").withColumn("copies", F.col("copies") + F.coalesce("_way", F.lit(0))).drop("_way")
-
-
-def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per target: what it has, what is used, the share asked for and the share reached."""
     goal = targets.select(clean_source(F.col("source")).alias("source"), "target_share", "max_repeats")
     per = mixed.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_documents"), F.sum("n_tokens").alias("tokens_available"), F.count_if(F.col("copies") > 0).alias("n_used"),
         F.max("copies").alias("most_copies"), F.sum(F.col("n_tokens").cast("long") * F.col("copies")).alias("tokens_used"),
     )
     joined = goal.join(per, "source", "left").na.fill(0, ["n_documents", "tokens_available", "n_used", "most_copies", "tokens_used"])
-    everything = joined.agg(F.sum("tokens_used").alias("_all"))  # one row
-    return joined.join(F.broadcast(everything)).withColumn("actual_share", F.try_divide("tokens_used", "_all")).drop("_all")
+    can = F.when(F.col("tokens_available") > 0, F.col("target_share")).otherwise(0.0)
+    everything = joined.agg(F.sum("tokens_used").alias("_all"), F.sum(can).alias("_can"))  # one row
+    return joined.join(F.broadcast(everything)).withColumn("due_share", F.try_divide(can, F.col("_can"))).withColumn("actual_share", F.try_divide("tokens_used", "_all")).drop("_all", "_can")

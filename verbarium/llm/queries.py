@@ -54,6 +54,16 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(mixing.mixture(table(spark, sf, "documents"), targets), targets)
 
 
+def p8_fit(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.fit_report(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
+
+
+def p8_unlabelled_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """The mixture in which documents without a source take part by their posteriors."""
+    targets = table(spark, sf, "mix_targets")
+    return mixing.shares(mixing.mixture(table(spark, sf, "documents"), targets, unlabelled=True), targets)
+
+
 def p8_membership(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.membership(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
 
@@ -62,7 +72,7 @@ def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.split_oversized(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "split_limits"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_confidence, p6_found, p6_claims, p7_found, p7_items, p8_mixture, p8_shares, p8_membership, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_confidence, p6_found, p6_claims, p7_found, p7_items, p8_mixture, p8_shares, p8_fit, p8_unlabelled_shares, p8_membership, p9_pieces)}
 
 _LEAKS = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w FROM documents WHERE text IS NOT NULL),
