@@ -9,8 +9,12 @@ from verbarium.llm import leakage, matching, mixing, restated, splitting
 from verbarium.sources.tables import table
 
 
+def _lexical(spark: SparkSession, sf: str) -> DataFrame:
+    return matching.lexical_rows(*(table(spark, sf, t) for t in ("staging_lexical_entries", "staging_semantic_relations", "staging_inflections")))
+
+
 def _matched(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.scored_pairs(matching.lexical_rows(*(table(spark, sf, t) for t in ("staging_lexical_entries", "staging_semantic_relations", "staging_inflections"))))
+    return matching.scored_pairs(_lexical(spark, sf))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -21,6 +25,15 @@ def p4_confidence(spark: SparkSession, sf: str) -> DataFrame:
     return _matched(spark, sf).withColumn("confidence", F.round("confidence", 6))
 
 
+def p4_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Which row has which profile: with the pairs of profiles, all matches without a row for each pair of equal rows."""
+    return matching.matched_profiles(_lexical(spark, sf))[0]
+
+
+def p4_profile_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return matching.matched_profiles(_lexical(spark, sf))[1].withColumn("confidence", F.round("confidence", 6))
+
+
 def _claims(spark: SparkSession, sf: str) -> DataFrame:
     return restated.restated(table(spark, sf, "staging_claims"), "id", ["source", "claim_type", "predicate"], ["subject"], ["object_json"])
 
@@ -72,7 +85,7 @@ def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.split_oversized(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "split_limits"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_confidence, p6_found, p6_claims, p7_found, p7_items, p8_mixture, p8_shares, p8_fit, p8_unlabelled_shares, p8_membership, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_confidence, p4_profiles, p4_profile_pairs, p6_found, p6_claims, p7_found, p7_items, p8_mixture, p8_shares, p8_fit, p8_unlabelled_shares, p8_membership, p9_pieces)}
 
 _LEAKS = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w FROM documents WHERE text IS NOT NULL),
