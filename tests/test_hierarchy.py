@@ -1,5 +1,6 @@
 import random
 
+from verbarium.operators import hierarchy as hierarchy_module
 from verbarium.operators.hierarchy import descendants, hierarchy, taxonomy_links
 
 LINKS = "child string, parent string"
@@ -39,7 +40,7 @@ def check(spark, links):
     place = {r.node: r for r in rows if r.status == "tree"}
     for v, r in place.items():
         assert r.n_descendants == len(below[v]) == r.rgt - r.lft - 1
-        inside = {x for x, q in place.items() if q.root == r.root and r.lft < q.lft < r.rgt}
+        inside = {x for x, q in place.items() if r.lft < q.lft < r.rgt}
         assert inside == below[v]
     pairs = [tuple(x) for x in descendants(h).collect()]
     assert len(pairs) == len(set(pairs))
@@ -80,3 +81,10 @@ def test_links_from_relations(spark):
     ]
     df = spark.createDataFrame(rows, "id string, subject_id string, relation_type string, object_id string, child string")
     assert [tuple(r) for r in taxonomy_links(df).collect()] == [("a", "b")]
+
+
+def test_hot_parents_and_blocks(spark, monkeypatch):
+    """Keys looked up apart and many blocks of places give the same."""
+    monkeypatch.setattr(hierarchy_module, "STALL", 5)
+    rng = random.Random(6)
+    check(spark, [(f"n{i}", "n0" if i % 3 else f"n{rng.randrange(i)}") for i in range(1, 150)] + [(f"m{i}", f"m{i // 2}") for i in range(1, 60)])

@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 HOT_PARTS = 1000
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
-    """``rows`` joined (inner) with ``table``, whose ``keys`` are unique and whose ``count`` says how many rows each meets.
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined (``inner`` or ``left``) with ``table``, whose ``keys`` are unique and whose ``count`` says how many rows each meets.
 
     Keys that more than ``total / HOT_PARTS`` rows share are at most ``HOT_PARTS``, whatever the data, so they
     are broadcast and their rows never shuffled; the others meet by a shuffle without hot keys.
     """
     hot = F.broadcast(table.filter(F.col(count) * HOT_PARTS > total).drop(count))
     cold = table.filter(F.col(count) * HOT_PARTS <= total).drop(count)
-    return rows.join(hot, keys).unionByName(rows.join(hot, keys, "left_anti").join(cold, keys))
+    return rows.join(hot, keys).unionByName(rows.join(hot, keys, "left_anti").join(cold, keys, how))
 
 
 def spread(rows: DataFrame) -> DataFrame:
