@@ -1,6 +1,8 @@
 import random
 import re
 
+import pandas as pd
+
 from verbarium.llm import leakage
 
 
@@ -37,16 +39,53 @@ def test_against_brute_force(spark):
         assert run(spark, docs, items) == brute(docs, items, 12)
 
 
-def test_without_broadcast(spark, monkeypatch):
+def test_without_broadcast(spark):
     docs, items = corpus(3, [f"w{i}" for i in range(300)])
-    monkeypatch.setattr(leakage, "BROADCAST_ROWS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert run(spark, docs, items) == brute(docs, items, 12)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_spans_are_maximal(spark):
+    docs, items = corpus(7, [f"w{i}" for i in range(40)])
+    items.append((90, " ".join(f"v{i}" for i in range(50))))
+    docs.append((900, "start " + " ".join(f"v{i}" for i in range(2, 44)) + " end " + " ".join(f"v{i}" for i in range(20, 33))))
+    w = lambda t: re.findall(r"[^\W_]+", t.lower())
+    want = set()
+    for d, t in docs:
+        for i, u in items:
+            x, y = w(t), w(u)
+            for a in range(len(x)):
+                for b in range(len(y)):
+                    if x[a] == y[b] and (not a or not b or x[a - 1] != y[b - 1]):
+                        n = 0
+                        while a + n < len(x) and b + n < len(y) and x[a + n] == y[b + n]:
+                            n += 1
+                        if n >= 12:
+                            want.add((d, i, a, b, n))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    e = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in leakage.leaked_spans(d, "doc_id", e, "item_id").collect()}
+    assert got == want and any(x[4] == 42 for x in got)
+
+
+def test_long_texts_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "CHUNK", 50)
+    docs, items = corpus(9, [f"w{i}" for i in range(100)])
+    longest = " ".join(t for _, t in docs)
+    for t in (longest, longest[:900]):
+        flat = [(o, p) for f, own, place in leakage._pieces(pd.Series([t, "a b", t]), 12) for o, p in zip(own, place)]
+        assert {p for o, p in flat if o == 2} == set(range(len(t.split()))) and all(o != 1 for o, _ in flat)
     assert run(spark, docs, items) == brute(docs, items, 12)
 
 
 def test_edges(spark):
     twelve = " ".join(f"t{i}" for i in range(12))
     opening = " ".join(f"o{i}" for i in range(11))
-    docs = [(1, None), (2, ""), (3, twelve), (4, opening + " x " + opening), (5, "no " * 30_000 + twelve + " no" * 30_000), (6, twelve), (6, twelve)]
-    items = [(1, twelve + " tail"), (2, opening + " y"), (3, None), (4, "short"), (1, twelve + " tail")]
+    docs = [(None, twelve), (1, None), (2, ""), (3, twelve), (4, opening + " x " + opening), (5, "no " * 30_000 + twelve + " no" * 30_000), (6, twelve), (6, twelve)]
+    items = [(None, twelve), (1, twelve + " tail"), (2, opening + " y"), (3, None), (4, "short"), (1, twelve + " tail")]
     assert run(spark, docs, items) == {(3, 1), (5, 1), (6, 1)}
     assert run(spark, [], items) == set() and run(spark, docs, []) == set()

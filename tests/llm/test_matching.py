@@ -118,7 +118,7 @@ def test_labels_come_from_what_a_classifier_does_not_see():
     f = pd.DataFrame({c: np.zeros(n, int) for c in matching._DIFFER})
     f["same"] = np.where(true, rng.random(n) < 0.9, rng.random(n) < 0.3).astype(int)
     f["far"] = 1 - f["same"]
-    f["pos_same"], f["sound"], f["rivals"], f["peers"], f["taken"], f["met"] = 1, 0, 0.0, 1, 0.0, True
+    f["pos_same"], f["sound"], f["rivals"], f["peers"], f["taken"] = 1, 0, 0.0, 1, 0.0
     f["overlap"] = np.where(true, rng.uniform(0.5, 1, n), rng.uniform(0, 0.4, n))
     form, gloss, report = matching.fit(f)
     assert report["form"]["accuracy"] > 0.75 and report["gloss"]["accuracy"] > 0.7

@@ -8,7 +8,8 @@ their headwords. Neither sees what its labels come from; each is calibrated on h
 
 Two sets of Jaccard similarity j share a band of r rows among b with probability ``1 - (1 - j ** r) ** b``, see
 :func:`band_recall`. One slip in a headword of L letters leaves j = (L - 1) / (L + 5) of its trigrams, which is found with
-probability 0.996 at 8 letters and 0.9999 at 10.
+probability 0.993 at 8 letters and 0.9996 at 10. What shares a band is verified: headwords that differ in
+more than a third of their letters are no candidates.
 """
 
 from __future__ import annotations
@@ -40,9 +41,9 @@ class Bands:
 
 
 #: Letter trigrams of headwords.
-LETTERS = Bands(4, 64, 1)
+LETTERS = Bands(4, 56, 1)
 #: Letters beside gloss or sound; a band of one is joined with the same band of the other.
-NEAR, GLOSS, SOUND = Bands(2, 32, 2), Bands(2, 32, 3), Bands(2, 32, 4)
+NEAR, GLOSS, SOUND = Bands(2, 24, 2), Bands(2, 24, 3), Bands(2, 24, 4)
 #: Gloss words among the profiles of a pair of headwords.
 SENSE = Bands(1, 16, 5)
 #: Labelled pairs the classifiers are fitted and calibrated on, at most, and profiles of one headword among them.
@@ -279,7 +280,7 @@ def profiles(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     glosses = cut(_weighted_glosses(base))
     lacking = base.filter("pos is null and gid is not null").drop("words", "pos").join(_read_off(base).withColumnRenamed("read_pos", "pos"), ["side", "gid"], "left")
     full = base.filter("pos is not null or gid is null").drop("words").unionByName(lacking)
-    prof = cut(full.select("key", F.md5(F.to_json(F.struct("side", "hw", "pos", "gid", "sound_k"))).alias("pid"), "side", "hw", "pos", "gid", "sound_k"))
+    prof = cut(full.select("key", F.unhex(F.md5(F.to_json(F.struct("side", "hw", "pos", "gid", "sound_k")))).alias("pid"), "side", "hw", "pos", "gid", "sound_k"))
     drop(base)
     return prof, glosses
 
@@ -287,18 +288,20 @@ def profiles(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ---------------------------------------------------------------- candidates
 
 
-def _met(rows: DataFrame, bands: Column, once: bool) -> DataFrame:
-    """``(hw, hw2)`` of rows ``(hw, left, right)``, ``once`` if each headword is one row, that share a band; equal sets share them all, so one band pairs equal headwords."""
+def _met(rows: DataFrame, bands: Column) -> DataFrame:
+    """``(hw, hw2, e)`` of rows ``(hw, left, right)`` that share a band, ``e`` edits apart, at most a third of the longer one's letters.
+
+    Equal sets share all bands, so one pairs equal headwords. A band holds each headword once, whatever glosses
+    or sounds it has there. Rows move once, to their bands.
+    """
     parts = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # a number of partitions of its own: small as the rows are, signatures take time
-    long = cut(rows.repartition(parts, "hw").select("hw", "left", "right", F.posexplode(bands).alias("i", "h")).transform(lambda x: x if once else _once(x)))
-    other = long.filter("right").select(F.col("hw").alias("hw2"), "h")
-    return long.filter("left").join(other, "h").filter("hw <> hw2 or i = 0").select("hw", "hw2")
-
-
-def _once(long: DataFrame) -> DataFrame:
-    """Each headword once a band, whatever glosses or sounds it has there."""
-    return long.groupBy("hw", "i", "h").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    long = rows.repartition(parts, "hw").select("hw", "left", "right", F.posexplode(bands).alias("i", "h")).withColumn("first", F.col("i") == 0).drop("i")
+    once = long.repartition(parts, "h").groupBy("h", "hw", "first").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    other = once.filter("right").select("h", F.col("hw").alias("hw2"))
+    met = once.filter("left").join(other, "h").filter("hw <> hw2 or first")
+    e = F.expr("levenshtein(hw, hw2, cast(floor(greatest(length(hw), length(hw2)) / 3) as int))")
+    return met.select("hw", "hw2", e.alias("e")).filter("e >= 0")
 
 
 def candidate_headwords(one: DataFrame, glosses: DataFrame) -> DataFrame:
@@ -311,17 +314,16 @@ def candidate_headwords(one: DataFrame, glosses: DataFrame) -> DataFrame:
     marked = one.select("hw", "gid", "sound_k", (F.col("side") == "K").alias("left"), (F.col("side") != "K").alias("right"))
     flags = [F.max("left").alias("left"), F.max("right").alias("right")]
     heads = marked.groupBy("hw").agg(*flags)
-    by_letters = _met(heads, _letters("hw"), True)
+    by_letters = _met(heads, _letters("hw"))
     told = marked.filter("gid is not null").groupBy("hw", "gid").agg(*flags).join(glosses, "gid")
-    by_gloss = _met(told, _near_gloss("hw", "words", "weights"), False)
+    by_gloss = _met(told, _near_gloss("hw", "words", "weights"))
     heard = marked.filter("sound_k is not null").groupBy("hw", "sound_k").agg(*flags)
-    by_sound = _met(heard, _near_sound("hw", "sound_k"), False)
+    by_sound = _met(heard, _near_sound("hw", "sound_k"))
     pairs = by_letters.unionByName(by_gloss).unionByName(by_sound).distinct()
     shorter = F.least(F.length("hw"), F.length("hw2"))
     stem = shorter - 2  # the end of a stem may change spelling before what is added
     longer = (F.greatest(F.length("hw"), F.length("hw2")) - shorter > 1) & (F.substring(F.col("hw"), F.lit(1), stem) == F.substring(F.col("hw2"), F.lit(1), stem))
-    edits = F.levenshtein("hw", "hw2")
-    with_edits = pairs.select("hw", "hw2", edits.alias("e"), longer.cast("int").alias("longer"))
+    with_edits = pairs.select("hw", "hw2", "e", longer.cast("int").alias("longer"))
     swapped = (F.col("e") == 2) & (F.array_sort(F.split("hw", "")) == F.array_sort(F.split("hw2", "")))
     slip = (F.col("e") == 1) | swapped
     flag = lambda c, name: c.cast("int").alias(name)
@@ -369,7 +371,7 @@ def candidate_pairs(one: DataFrame, glosses: DataFrame, heads: DataFrame) -> Dat
     """Pairs of profiles of side K and another side whose headwords are candidates and whose parts of speech do not clash, with features.
 
     Two profiles with glosses are a pair if these share a band too, so that the many senses of a frequent headword do
-    not all meet: of pairs that share a tenth of the weight four in five meet, of those that share half all but one in 60,000.
+    not all meet: of pairs that share a quarter of the weight all but one in 100 meet, of those that share half all but one in 60,000.
     """
     left, right = _sides(one, heads)
     bands = cut(glosses.select("gid", F.explode(_senses("words", "weights")).alias("h")))
@@ -380,18 +382,18 @@ def candidate_pairs(one: DataFrame, glosses: DataFrame, heads: DataFrame) -> Dat
 
 
 def _training_pairs(one: DataFrame, glosses: DataFrame, heads: DataFrame, most: int) -> DataFrame:
-    """Pairs of profiles with glosses, whether these agree or not: the first of each headword, and of all, by hash. Not ``met`` are pairs of different headwords."""
+    """Pairs of profiles with glosses, whether these agree or not: the first of each headword, and of all, by hash."""
     first = Window.partitionBy("side", "hw").orderBy(F.xxhash64("pid"), "pid")
     few = one.filter("gid is not null").withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= TRAIN_PER_HEADWORD).select("pid")
     left, right = _sides(one, heads)
     left = left.join(few, "pid", "left_semi").orderBy(F.xxhash64("pid"), "pid").limit(most)
     right = right.join(few.withColumnRenamed("pid", "pid2"), "pid2", "left_semi")
     pairs = _paired(left, right, heads, []).orderBy(F.xxhash64("pid", "pid2"), "pid", "pid2").limit(most)
-    # beside them as many that chance brings together, for what glosses of different words share
+    # beside them some that chance brings together, for what different words have in common
     some = [df.orderBy(F.xxhash64(k), k).limit(most // 4).withColumn("_i", F.row_number().over(Window.orderBy(F.xxhash64(F.lit(k), k), k))) for df, k in ((left, "pid"), (right, "pid2"))]
     apart = [F.lit(int(c == "far")).alias(c) for c in _DIFFER]
     chance = some[0].join(some[1], "_i").filter("hw <> hw2").select("*", *apart).select(*pairs.columns)
-    return _compared(pairs, glosses).withColumn("met", F.lit(True)).unionByName(_compared(chance, glosses).withColumn("met", F.lit(False)))
+    return _compared(pairs.unionByName(chance), glosses)
 
 
 # ---------------------------------------------------------------- classifiers
@@ -444,7 +446,7 @@ def fit(sample: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, dict]:
     are taken off again, so that what the gloss says adds to what the form says.
     """
     rng = np.random.default_rng(1)
-    clear = sample[sample["met"] & ((sample["overlap"] >= 0.5) | (sample["overlap"] <= 0.25))]
+    clear = sample[(sample["overlap"] >= 0.5) | (sample["overlap"] <= 0.25)]
     form, a = _calibrated(_form_terms(clear), (clear["overlap"] >= 0.5).to_numpy(float), _PRIOR_FORM, rng)
     yes = (sample["same"] == 1) & (sample["pos_same"] == 1) & (sample["rivals"] == 0) & (sample["peers"] == 1)
     no = (sample["far"] == 1) | (sample["longer"] == 1)
@@ -480,7 +482,8 @@ def matched_profiles(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[Dat
     of_right, of_left = (cut(x) for x in _good(pairs))
     form, gloss, _ = fit(_contested(_training_pairs(one, glosses, heads, TRAIN_PAIRS), of_right, of_left).toPandas())
     drop(one)
-    terms = [F.lit(1.0), *[F.col(c) for c in _DIFFER], F.col("pos_same"), (F.col("sound") > 0).cast("int"), (F.col("sound") < 0).cast("int"), F.col("rivals"), F.col("taken")]
+    terms = [F.lit(1.0), *[F.col(c) for c in _DIFFER], F.col("pos_same"), (F.col("sound") > 0).cast("int"), (F.col("sound") < 0).cast("int"), F.col("rivals"), F.when(F.col("overlap").isNull(), F.col("taken")).otherwise(0.0)]
+    # where both glosses are known they speak for themselves, whatever other partners there are
     z = sum((t * F.lit(float(c)) for t, c in zip(terms, form)), F.lit(0.0))
     said = F.coalesce(F.lit(float(gloss[0])) + F.lit(float(gloss[1])) * F.col("overlap"), F.lit(0.0))
     matched = _contested(pairs, of_right, of_left).select("pid", "pid2", (1 / (1 + F.exp(-(z + said)))).alias("confidence")).filter(F.col("confidence") >= threshold)

@@ -27,19 +27,19 @@ def p4_confidence(spark: SparkSession, sf: str) -> DataFrame:
 
 def p4_profiles(spark: SparkSession, sf: str) -> DataFrame:
     """Which row has which profile: with the pairs of profiles, all matches without a row for each pair of equal rows."""
-    return matching.matched_profiles(_lexical(spark, sf))[0]
+    return matching.matched_profiles(_lexical(spark, sf))[0].withColumn("pid", F.lower(F.hex("pid")))
 
 
 def p4_profile_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return matching.matched_profiles(_lexical(spark, sf))[1].withColumn("confidence", F.round("confidence", 6))
+    return matching.matched_profiles(_lexical(spark, sf))[1].select(F.lower(F.hex("pid")).alias("pid"), F.lower(F.hex("pid2")).alias("pid2"), F.round("confidence", 6).alias("confidence"))
 
 
-def _claims(spark: SparkSession, sf: str) -> DataFrame:
-    return restated.restated(table(spark, sf, "staging_claims"), "id", ["source", "claim_type", "predicate"], ["subject"], ["object_json"])
+def _claims(spark: SparkSession, sf: str, least: int = 1) -> DataFrame:
+    return restated.restated(table(spark, sf, "staging_claims"), "id", ["source", "claim_type", "predicate"], ["subject"], ["object_json"], least)
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    return _claims(spark, sf).filter("id <> keep").select(F.col("keep").alias("keep_id"), F.col("id").alias("copy_id"))
+    return _claims(spark, sf, 2).filter("id <> keep").select(F.col("keep").alias("keep_id"), F.col("id").alias("copy_id"))
 
 
 def p6_claims(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,6 +58,10 @@ def p7_items(spark: SparkSession, sf: str) -> DataFrame:
     return _leaks(spark, sf).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents"))
 
 
+def p7_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.leaked_spans(table(spark, sf, "documents"), "doc_id", table(spark, sf, "eval_items"), "item_id")
+
+
 def p8_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
 
@@ -85,7 +89,7 @@ def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.split_oversized(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "split_limits"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_confidence, p4_profiles, p4_profile_pairs, p6_found, p6_claims, p7_found, p7_items, p8_mixture, p8_shares, p8_fit, p8_unlabelled_shares, p8_membership, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_confidence, p4_profiles, p4_profile_pairs, p6_found, p6_claims, p7_found, p7_items, p7_spans, p8_mixture, p8_shares, p8_fit, p8_unlabelled_shares, p8_membership, p9_pieces)}
 
 _LEAKS = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w FROM documents WHERE text IS NOT NULL),

@@ -1,25 +1,31 @@
 """Duplicates hidden by formatting: dictionary-encoded columns and grouped integer tuples.
 
-Each distinct raw value of a column is canonicalised once into field-value pairs, each distinct pair gets an
-integer, and a record becomes the sorted array of its pairs' integers. Records with equal arrays are copies.
+Columns are dictionary-encoded as Parquet does it, batch by batch: each distinct raw value of a task is canonicalised
+once into field-value pairs, and each pair gets an integer. The integer is a 128-bit digest of the pair, so the
+dictionaries of all tasks agree without meeting; among 10 ** 12 distinct pairs the chance of any two sharing one is
+below 10 ** -14. A record becomes the sorted tuple of its pairs' integers, tuples meet by their own 128 bits, and raw
+values never leave the task that reads them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from verbarium.lineage import cut, drop
-from verbarium.operators.lookup import lookup
+from verbarium.lineage import cut
+from verbarium.operators.lookup import lookup, spread
 from verbarium.shipping import ship
 
+#: Values a task remembers; beyond them it starts its dictionaries afresh.
+REMEMBERED = 200_000
 _NOT_ALNUM = re.compile(r"[\W_]+")
 
 
@@ -73,57 +79,61 @@ def json_pairs(text: str) -> list[str]:
     return sorted(out)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _json_pairs(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in texts:
-        yield pd.Series([None if t is None else json_pairs(t) for t in s], dtype=object)
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _text_pairs(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in texts:
-        yield pd.Series([None if t is None else [_reduced(t)] for t in s], dtype=object)
+class _Dictionary:
+    """A column's values as the integers of their pairs, end to end in order; null has a code of its own."""
 
+    def __init__(self, field: int, pairs: Callable[[str], list[str]]) -> None:
+        self.field, self.pairs, self.known = f"{field}".encode(), pairs, {}
 
-def restated(records: DataFrame, key: str, exact: list[str], texts: list[str], jsons: list[str]) -> DataFrame:
+    def codes(self, value: str | None) -> bytes:
+        if value is None:
+            return _digest(self.field + b"0")
+        return b"".join(sorted(_digest(self.field + b"1" + p.encode("utf-8", "surrogatepass")) for p in self.pairs(value)))
+
+    def encode(self, column: pd.Series) -> list[bytes]:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        at, distinct = pd.factorize(column, use_na_sentinel=False)
+        mine = []
+        for v in (None if pd.isna(x) else x for x in distinct):
+            if v not in self.known:
+                self.known[v] = self.codes(v)
+            mine.append(self.known[v])
+        return [mine[i] for i in at]
+
+
+def _tuples(records: DataFrame, key: str, columns: dict[str, Callable[[str], list[str]]]) -> DataFrame:
+    """``(key, hi, lo)``: the 128 bits of each record's tuple."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoders = [_Dictionary(i, f) for i, f in enumerate(columns.values())]
+        for b in batches:
+            coded = [e.encode(b[f"c{i}"]) for i, e in enumerate(encoders)]
+            whole = b"".join(_digest(b"".join(len(x).to_bytes(4, "big") + x for x in row)) for row in zip(*coded)) if coded else b"\0" * 16 * len(b)
+            two = np.frombuffer(whole, "<i8").reshape(-1, 2)
+            yield pd.DataFrame({"key": b["key"], "hi": two[:, 0], "lo": two[:, 1]})
+
+    rows = records.filter(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("key"), *[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
+    return spread(rows).mapInPandas(run, "key string, hi long, lo long")
+
+
+def restated(records: DataFrame, key: str, exact: list[str], texts: list[str], jsons: list[str], least: int = 1) -> DataFrame:
     """``(key, keep, n_copies)`` for each distinct key: the smallest key of its group of copies, and the group's size.
 
     Records are copies if the ``exact`` columns are equal, the ``texts`` equal once reduced to letters and
     digits in lower case, and the ``jsons`` equal as JSON with their strings so reduced. Nulls equal nulls only.
-    Rows with a null key are left out; a key that stands on several different records counts in each of their
-    groups. Other columns are not read. Empty tables give no rows.
+    ``n_copies`` counts distinct keys, so repeated rows change nothing. Rows with a null key are left out; a key that
+    stands on several different records counts in each of their groups. ``least``: only groups of at least so many
+    copies. Other columns are not read. Empty tables give no rows.
 
-    Shuffles move raw values twice and integers otherwise. A hot value, pair or group is handled by
-    :func:`lookup`; no group is collected, except that of one record's own pairs.
+    Only keys and 16 bytes a record are shuffled. A hot group is handled by :func:`lookup`; none is collected.
     """
     ship(records.sparkSession)
-    columns = [*exact, *texts, *jsons]
-    own = records.filter(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("_key"), *[F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(columns)]).distinct()
-    # a key may stand on several records, so a record is known by its contents too
-    own = own.withColumn("_rec", F.xxhash64(F.to_json(F.struct(*[f"_c{i}" for i in range(len(columns))]))))
-    long = own.select("_key", "_rec", F.posexplode(F.array(*[f"_c{i}" for i in range(len(columns))])).alias("field", "raw"))
-    long = long.withColumn("raw", F.when(F.col("raw").isNull(), "0").otherwise(F.concat(F.lit("1"), "raw")))  # nulls as values
-    values = long.groupBy("field", "raw").agg(F.count(F.lit(1)).alias("n"))
-    inner = F.when(F.col("raw") != "0", F.substring("raw", 2, 2**31 - 1))
-    n_exact, n_text = len(exact), len(texts)
-    reduced = F.when(F.col("field").between(n_exact, n_exact + n_text - 1), inner)
-    as_json = F.when(F.col("field") >= n_exact + n_text, inner)
-    pairs = F.coalesce(_text_pairs(reduced), _json_pairs(as_json), F.array("raw"))
-    mark = F.when(F.col("raw") == "0", "0").otherwise("1")
-    values = cut(
-        values.withColumn("pairs", pairs)
-        .withColumn("pairs", F.transform("pairs", lambda p: F.concat(F.col("field").cast("string"), mark, p)))
-        .withColumn("value_id", F.monotonically_increasing_id())
-    )
-    codes = cut(values.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("m")).withColumn("code", F.monotonically_increasing_id()))
-    n_pairs = codes.agg(F.sum("m")).first()[0] or 0
-    coded = lookup(values.select("value_id", F.explode("pairs").alias("pair")), codes, ["pair"], "m", n_pairs)
-    coded = cut(coded.groupBy("value_id").agg(F.collect_list("code").alias("codes")))
-    n_values = values.agg(F.sum("n")).first()[0] or 0
-    encoded = values.select("field", "raw", "n", "value_id").join(coded, "value_id").drop("value_id")
-    tuples = lookup(long, encoded, ["field", "raw"], "n", n_values)
-    tuples = cut(tuples.groupBy("_key", "_rec").agg(F.array_sort(F.flatten(F.collect_list("codes"))).alias("tuple")))
-    drop(codes)
-    groups = tuples.groupBy("tuple").agg(F.min("_key").alias("keep"), F.count(F.lit(1)).alias("n_copies"), F.count(F.lit(1)).alias("n"))
-    n_records = n_values // max(1, len(columns))
-    return lookup(tuples, groups, ["tuple"], "n", n_records).select(F.col("_key").alias(key), "keep", "n_copies").distinct()
+    columns = {c: (lambda x: [x]) for c in exact} | {c: (lambda x: [_reduced(x)]) for c in texts} | {c: json_pairs for c in jsons}
+    tuples = cut(_tuples(records, key, columns).distinct())
+    groups = tuples.groupBy("hi", "lo").agg(F.min("key").alias("keep"), F.count(F.lit(1)).alias("n_copies")).withColumn("n", F.col("n_copies")).filter(F.col("n_copies") >= least)
+    return lookup(tuples, groups, ["hi", "lo"], "n", tuples.count()).select(F.col("key").alias(key), "keep", "n_copies").distinct()
