@@ -74,3 +74,26 @@ def test_delimiters(spark):
     df = spark.createDataFrame(rows, "source string, t string")
     best = {r.source: r.delimiter for r in infer_delimiters(df, "source", "t").filter("rank = 1 and score > 0").collect()}
     assert best == {"a": ";", "b": "|", "d": "|"}
+
+
+def test_the_inferred_delimiter_decides(spark):
+    """Where values may hold anything, each source's own delimiter cuts; the same text differs between sources."""
+    odd = ["red wine;dry, old", 'k "p;q" l;m', "'a|b';c d", "none here"]
+    rows = [(s, f"x{i}{d}y{d}z") for s, d in zip("abc", ";,|") for i in range(20)] + [(s, t) for s in "abc" for t in odd] + [("d", "one two"), ("d", None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, source string, t string")
+    got = {}
+    for r in sorted(split_packed(df, F.col("id"), F.col("source"), F.col("t"), plain=False).collect(), key=lambda r: r.value_pos):
+        got.setdefault(int(r.row_key), []).append(r.feature_value)
+    values = {k: got.get(i) for i, k in enumerate(rows)}
+    assert values["a", "x0;y;z"] == values["b", "x0,y,z"] == values["c", "x0|y|z"] == ["x0", "y", "z"]
+    assert values["a", odd[0]] == ["red wine", "dry, old"] and values["b", odd[0]] == ["red wine;dry", "old"]
+    assert values["a", odd[1]] == ['k "p;q" l', "m"] and values["a", odd[2]] == ["a|b", "c d"]
+    assert values["d", None] is None
+
+
+def test_a_text_is_cut_at_a_delimiter_it_has(spark):
+    rows = [(i, "a", t) for i, t in enumerate(["p q;r"] * 30 + ["p q|r"] * 10 + ["p q"])]
+    df = spark.createDataFrame(rows, "id int, source string, t string")
+    got = {int(r.row_key): r.feature_value for r in split_packed(df, F.col("id"), F.col("source"), F.col("t"), plain=False).filter("value_pos = 1").collect()}
+    assert got[0] == "p q" or got[0] == "p"
+    assert {r.row_key for r in split_packed(df, F.col("id"), F.col("source"), F.col("t"), plain=False).filter("value_pos = 2").collect()} >= {str(i) for i in range(40)}

@@ -1,13 +1,15 @@
 """Several values packed in one field: delimiters inferred per source, then one row per value with its place.
 
 Candidate delimiters are scored per source on how often they occur, how consistent their piece counts are and
-how regular their pieces look. A text is first cut, outside quotes, at its source's best delimiter; pieces that
-are plain values are then done, and only the others are taken apart further by the value grammar.
+how regular their pieces look. A text is cut, outside quotes, at the best delimiter of its source that it has. Its
+pieces are the values; where values are known to be plain, a piece that is not is taken apart further by the value
+grammar.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verbarium.lineage import cut
 from verbarium.shipping import ship
 
 #: Delimiters that are tried; letters, digits, '.', '_' and '-' belong to values.
@@ -26,10 +29,11 @@ GRAMMAR = rf"[{_VAL}]+[\"']?|{_QUOTED}"
 _PLAIN = rf"^[{_VAL}]+$"
 
 
-def _segments(delimiter: Column) -> Column:
-    """A pattern for the stretches between unquoted delimiters; a run of value characters takes a quote after it along."""
-    d = F.regexp_replace(delimiter, r"([|+\\^$.*?()\[\]{}\-])", r"\\$1")
-    return F.concat(F.lit(rf"(?:[{_VAL}]+[\"']?|{_QUOTED}|[^{_VAL}"), d, F.lit("])+"))
+def _segments(delimiter: str, plain: bool) -> str:
+    """A pattern for the stretches between unquoted delimiters; where values are plain, a run of value characters takes a quote after it along."""
+    d = re.escape(delimiter)
+    run = rf"[{_VAL}]+[\"']?|" if plain else ""
+    return rf"(?:{run}{_QUOTED}|[^{d}])+" if not plain else rf"(?:{run}{_QUOTED}|[^{_VAL}{d}])+"
 
 
 def _unquote(token: Column) -> Column:
@@ -42,15 +46,25 @@ def _unquote(token: Column) -> Column:
     )
 
 
-def _values(text: Column, delimiter: Column) -> Column:
-    """The values of a text in order. A null delimiter leaves the text whole for the grammar."""
-    pieces = F.when(delimiter.isNull(), F.array(text)).otherwise(F.regexp_extract_all(text, _segments(delimiter), F.lit(0)))
+def _values(text: Column, ranked: Column, plain: bool) -> Column:
+    """The values of a text in order. ``ranked``: its source's delimiters, the best first; without any the text is one piece."""
+    bare = F.regexp_replace(text, _QUOTED, "Q")
+    own = F.get(F.filter(ranked, lambda d: F.contains(F.trim(bare), d)), F.lit(0))
+    pieces = F.array(text)
+    quoted = text.contains('"') | text.contains("'")
+    for d in reversed(CANDIDATES):
+        cut_up = F.when(quoted, F.regexp_extract_all(text, F.lit(_segments(d, plain)), F.lit(0))).otherwise(F.split(text, re.escape(d)))
+        pieces = F.when(own == d, cut_up).otherwise(pieces)
+
+    def whole(piece: Column) -> Column:
+        bare = F.trim(piece)
+        return F.when(bare == "", F.array().cast("array<string>")).when(bare.rlike(rf"^(?:{_QUOTED})$"), F.array(_unquote(bare))).otherwise(F.array(bare))
 
     def taken(piece: Column) -> Column:
         bare = F.trim(piece)
-        return F.when(bare.rlike(_PLAIN), F.array(bare)).otherwise(F.transform(F.regexp_extract_all(piece, F.lit(GRAMMAR), F.lit(0)), _unquote))
+        return F.when(bare.rlike(_PLAIN), F.array(bare)).when(bare == "", F.array().cast("array<string>")).otherwise(F.transform(F.regexp_extract_all(piece, F.lit(GRAMMAR), F.lit(0)), _unquote))
 
-    return F.flatten(F.transform(pieces, taken))
+    return F.flatten(F.transform(pieces, taken if plain else whole))
 
 
 def infer_delimiters(texts: DataFrame, source: str, text: str, n: str | None = None) -> DataFrame:
@@ -138,26 +152,39 @@ def json_leaves(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([None if f is None else [{"text": a, "apart": b} for a, b in f] for f in found], dtype=object)
 
 
-def split_packed(rows: DataFrame, key: Column, source: Column, text: Column, as_json: bool = False) -> DataFrame:
+def split_packed(rows: DataFrame, key: Column, source: Column, text: Column, as_json: bool = False, plain: bool = True) -> DataFrame:
     """``(row_key, value_pos, feature_value)``: one row per packed value, places from 1, distinct.
 
+    A text is cut at the best delimiter of its source that it holds outside quotes. With ``plain`` a value is a
+    run of letters, digits, ``.``, ``_`` and ``-``, so what is left between runs of a piece separates too, whatever it
+    is, and the delimiters save work but change nothing; without, a piece is a value as it stands, trimmed, so the
+    inferred delimiter decides, and a text of a source that has none is one value. Quoted stretches come without their quotes.
+
     ``as_json``: texts that parse as JSON give their leaves in stored order, nulls skipped; a string leaf that
     is a JSON object or array is read on, another is taken apart like any text, a number or truth value is its
     text. Null and blank texts have no values; an unclosed quote separates; an empty quoted stretch is an
     empty value. Repeated rows come out once; other columns of ``rows`` are not read.
+
+    The texts move once, to the place of their key, where all that follows stays; a JSON text is parsed once.
     """
     ship(rows.sparkSession)
-    base = rows.select(key.cast("string").alias("row_key"), F.coalesce(source, F.lit("")).alias("source"), text.alias("text")).filter("text is not null").distinct()
+    spark = rows.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    base = rows.select(key.cast("string").alias("row_key"), F.coalesce(source, F.lit("")).alias("source"), text.alias("text")).filter("text is not null")
+    base = base.repartition(parts, "row_key").distinct()
+    whole = F.array(F.struct(F.col("text"), F.lit(True).alias("apart")))
     if as_json:
         maybe = F.col("text").rlike(r"^\s*[\[{\"\-0-9tfnNI]")  # no JSON starts otherwise, and other texts stay in the JVM
-        base = base.withColumn("leaves", F.when(maybe, json_leaves(F.when(maybe, F.col("text")))))
-        base = base.withColumn("leaves", F.coalesce("leaves", F.array(F.struct(F.col("text"), F.lit(True).alias("apart")))))
+        parsed = base.filter(maybe).select("row_key", "source", F.coalesce(json_leaves("text"), whole).alias("leaves"))
+        base = cut(parsed.unionByName(base.filter(~maybe).select("row_key", "source", whole.alias("leaves"))))
         seen = base.select("source", F.explode("leaves").alias("l")).filter("l.apart").select("source", F.col("l.text").alias("text"))
+        base = base.repartition(parts, "row_key")
     else:
-        base = base.withColumn("leaves", F.array(F.struct(F.col("text"), F.lit(True).alias("apart"))))
         seen = base.select("source", "text")
-    best = infer_delimiters(seen, "source", "text").filter("rank = 1 and score > 0").select("source", "delimiter")
+        base = base.select("row_key", "source", whole.alias("leaves"))
+    best = infer_delimiters(seen, "source", "text").filter("score > 0").groupBy("source").agg(F.array_sort(F.collect_list(F.struct("rank", "delimiter")))["delimiter"].alias("ranked"))
     # one row per source; adaptive execution broadcasts it if its measured size allows
-    cut_up = base.join(best, "source", "left").select("row_key", F.flatten(F.transform("leaves", lambda x: F.when(x["apart"], _values(x["text"], F.col("delimiter"))).otherwise(F.array(x["text"])))).alias("v"))
+    ranked = F.coalesce("ranked", F.array().cast("array<string>"))
+    cut_up = base.join(best, "source", "left").select("row_key", F.flatten(F.transform("leaves", lambda x: F.when(x["apart"], _values(x["text"], ranked, plain)).otherwise(F.array(x["text"])))).alias("v"))
     # outer, as for the inner explode Catalyst would add a filter that splits a second time
     return cut_up.select("row_key", F.posexplode_outer("v").alias("value_pos", "feature_value")).filter("value_pos is not null").select("row_key", (F.col("value_pos") + 1).alias("value_pos"), "feature_value").distinct()
