@@ -60,9 +60,8 @@ def test_lookup_page_and_slice(spark):
     lex, forms, e = words(spark)
     assert [(r.kind, r.id, r.parent_id) for r in graph.lookup_term(" WENT", lex, e, forms).collect()] == [("FORM", "f1", "l1")]
     senses = spark.createDataFrame([("l1", "s1", "move")], "lexeme_id string, sense_id string, definition string")
-    page = {r.lexeme_id: r for r in graph.word_page(lex, senses, e, forms).collect()}
-    assert [f.surface for f in page["l1"].forms] == ["went", "goes"] and [(x.other, x.direction) for x in page["l1"].links] == [("l3", "DERIVED")]
-    assert page["l3"].links[0].direction == "BASE" and page["l3"].forms is None and page["l1"].senses[0].definition == "move"
+    rows = {tuple(r) for r in graph.word_rows(lex, senses, e, forms).collect()}
+    assert rows == {("l1", "SENSE", "s1", "move"), ("l1", "FORM", "f1", "went"), ("l1", "FORM", "f2", "goes"), ("l2", "FORM", "f3", "goals"), ("l1", "DERIVED", "l3", None), ("l3", "BASE", "l1", None)}
     kept = export.closed_slice(spark.createDataFrame([("GO",)], "lemma string"), lex, e)
     assert {r.target_id for r in kept.collect()} == {"f1", "f2"}
     j = {r.lexeme_id: r.json for r in export.ontolex(lex, graph.forms_of(lex, e, forms)).collect()}

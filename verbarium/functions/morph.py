@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_DOUBLING = "[b-df-hj-np-tv-z][aeiou][bcdfgklmnprtvz]$"
+# Spelling patterns and rules that forms must follow; consonant, vowel and a last consonant that doubles.
+_DOUBLING = "[bcdfghjklmnpqrstvwxyz][aeiou][bcdfgklmnprtvz]$"
 _CONSONANT_Y = "(?:^|[^aeiou])y$"
 #: (part of speech, slot, ending, characters cut, suffix, last letter doubled), in order of preference.
 RULES = [

@@ -24,7 +24,7 @@ FEATURE_TAGS = [
     ("1", "person", "first"), ("2", "person", "second"), ("3", "person", "third"),
     ("CMPR", "degree", "comparative"), ("SPRL", "degree", "superlative"),
     ("PROG", "aspect", "progressive"), ("PRF", "aspect", "perfect"),
-    ("V.PTCP", "form_category", "participle"), ("V.CVB", "form_category", "gerund"), ("NFIN", "form_category", "infinitive"),
+    ("PTCP", "form_category", "participle"), ("V.PTCP", "form_category", "participle"), ("V.CVB", "form_category", "gerund"), ("NFIN", "form_category", "infinitive"),
 ]
 FEATURE_NAMES = ["aspect", "degree", "form_category", "number", "person", "tense"]
 
@@ -35,7 +35,7 @@ def _nfc(s: pd.Series) -> pd.Series:
 
 
 def normalize_text(text: Column) -> Column:
-    """Trimmed (all Unicode white space), NFC, lower case; null gives ''. Python sees only non-ASCII rows."""
+    """Trimmed (all Unicode white space), NFC, lower case; null gives ''. Only non-ASCII texts are composed in Python, others reach it as nulls."""
     bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$", "")
     ascii_only = bare.rlike(r"^\p{ASCII}*$")
     return F.lower(F.when(ascii_only, bare).otherwise(_nfc(F.when(~ascii_only, bare))))
@@ -103,8 +103,14 @@ def clean_query(term: Column) -> Column:
     return F.trim(F.regexp_replace(term, "[^a-zA-Z0-9_*]", " "))
 
 
-#: Accented Latin letters and their base letters, for folding search tokens.
-_FOLD = ("àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
+def _foldings() -> tuple[str, str]:
+    """Latin, Greek and Cyrillic letters whose canonical decomposition is a letter and marks, with that letter; then the marks, which go."""
+    letters = {c: unicodedata.normalize("NFD", c) for c in map(chr, [*range(0xC0, 0x530), *range(0x1E00, 0x2000)])}
+    made = {c: d[0] for c, d in letters.items() if len(d) > 1 and all(unicodedata.category(m) == "Mn" for m in d[1:])}
+    return "".join(made) + "".join(map(chr, range(0x300, 0x370))), "".join(made.values())
+
+
+_FOLD = _foldings()
 
 
 def tokens(text: Column) -> Column:

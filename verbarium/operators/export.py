@@ -23,10 +23,17 @@ def publish(tables: dict[str, tuple[DataFrame, list[str]]], root: str, checks: D
         df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(f"{snapshot}/{name}.parquet")
     spark = next(iter(tables.values()))[0].sparkSession
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
-    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    paths = jvm.org.apache.hadoop.fs.Path
+    beside, path = paths(f"{snapshot}/CURRENT"), paths(f"{root}/CURRENT")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(beside, True)
     out.write(bytearray(snapshot.encode()))
     out.close()
+    # written beside and renamed, so that no reader meets a pointer half written
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri() if path.toUri().getScheme() else files.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(files.makeQualified(beside), files.makeQualified(path), options)
     return snapshot
 
 
@@ -74,7 +81,7 @@ def content_hash(rows: DataFrame, columns: list[str]) -> Column:
     return F.bit_xor(F.xxhash64(F.to_json(F.struct(*columns))))
 
 
-def markdown(report: DataFrame, most: int = 1000) -> str:
-    """A gate report of at most ``most`` rows as a table."""
-    rows = report.orderBy("gate").limit(most).collect()
+def markdown(report: DataFrame) -> str:
+    """A gate report, which has a row per gate, as a table."""
+    rows = report.orderBy("gate").collect()
     return "\n".join(["| gate | violations | passed |", "|---|---|---|", *[f"| {r.gate} | {r.violations} | {'yes' if r.passed else 'no'} |" for r in rows]])

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from verbarium.functions.ids import NS_DNS, uuid5
 from verbarium.operators.graph import dangling, mutual_pairs
 
+# Classes of evidence, parts of speech.
 EPISTEMIC = ["EXPLICIT", "GENERATED", "ATTESTED", "INFERRED", "UNCERTAIN"]
 POS = ["NOUN", "VERB", "ADJECTIVE", "ADVERB", "PRONOUN", "DETERMINER", "PREPOSITION", "CONJUNCTION", "INTERJECTION", "NUMERAL", "PARTICLE", "AFFIX", "OTHER"]
 # Pairs of words that look related and are not.
 TRAPS = [("car", "carpet"), ("art", "article"), ("ride", "riddance"), ("go", "goal"), ("pan", "panic"), ("ear", "early"), ("rat", "ratio"), ("he", "hero"), ("cat", "catch")]
-#: Which end types each relation may have.
+# Which end types each relation may have.
 ENDPOINTS = {"HAS_FORM": ("LEXEME", "FORM"), "DERIVED_FROM": ("LEXEME", "LEXEME"), "SYNONYM_OF": ("LEXEME", "LEXEME"), "ANTONYM_OF": ("LEXEME", "LEXEME")}
 
 
@@ -123,22 +124,34 @@ def report(gates: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts).withColumn("passed", F.col("violations") == 0)
 
 
-def lexical_gates(edges: DataFrame, entities: DataFrame, bridge: DataFrame, claims: DataFrame) -> dict[str, DataFrame]:
-    """The gates over the edge graph and its registry."""
-    nodes = entities.select(F.col("resolved_id").alias("node_id"), "entity_type").distinct()
-    lex = entities.filter("entity_type = 'LEXEME'").select(F.col("resolved_id").alias("lexeme_id"), F.col("canonical_form").alias("lemma"))
-    form_ids = nodes.filter("entity_type = 'FORM'").select("node_id")
-    lex_ids = nodes.filter("entity_type = 'LEXEME'").select("node_id")
-    return {
-        "epistemic_domain": epistemic_domain(edges),
-        "endpoint_types": badly_typed(edges),
-        "dangling_edges": dangling(edges, nodes),
-        "explicit_without_claim": unbacked(edges, bridge, F.col("epistemic_class") == "EXPLICIT"),
-        "bridge_without_claim": orphan_keys(bridge, "claim_id", claims, "id"),
-        "trap_pairs": trapped(edges, lex),
-        "lexeme_form_collisions": shared_ids(lex_ids, form_ids, "node_id"),
-        "has_form_to_lexeme": edges.filter("relation_type = 'HAS_FORM'").join(lex_ids.withColumnRenamed("node_id", "target_id"), "target_id", "left_semi"),
-        "derivation_cycles": cycles(edges, "DERIVED_FROM"),
-        "weak_prefix_derivations": unattested_prefixes(edges, lex),
-        "phonetic_edges": edges.filter(F.col("relation_type").contains("PHONETIC")),
-    }
+def lexical_report(edges: DataFrame, entities: DataFrame, bridge: DataFrame, claims: DataFrame) -> DataFrame:
+    """``(gate, violations, passed)`` of the gates over the edge graph and its registry.
+
+    What edges are judged by is joined to them once, and one conditional aggregate counts the violations of all
+    gates; only the search for cycles reads edges again. A gate that compares lemmas counts every pair of lemmas of the two ends.
+    """
+    is_lex = F.col("entity_type") == "LEXEME"
+    nodes = entities.filter("resolved_id is not null").groupBy("resolved_id").agg(F.max(is_lex).alias("lex"), F.max(F.col("entity_type") == "FORM").alias("form"), F.collect_set(F.when(is_lex, F.col("canonical_form"))).alias("lemmas"))
+    end = lambda k, p: nodes.select(F.col("resolved_id").alias(k), F.lit(True).alias(p + "known"), F.col("lex").alias(p + "lex"), F.col("lemmas").alias(p + "lemmas"))
+    backed = bridge.select(F.col("relation_id").alias("id")).filter("id is not null").distinct().withColumn("backed", F.lit(True))
+    e = edges.select("id", "source_id", "source_type", "relation_type", "target_id", "target_type", "epistemic_class")
+    e = e.join(end("source_id", "s_"), "source_id", "left").join(end("target_id", "t_"), "target_id", "left").join(backed, "id", "left")
+    wrong_ends = reduce(lambda a, b: a | b, [(F.col("relation_type") == r) & ~((F.col("source_type") == s) & (F.col("target_type") == t)) for r, (s, t) in ENDPOINTS.items()])
+
+    def pairs(test) -> Column:  # of the distinct lemmas of the two ends
+        low = [F.coalesce(F.col(c), F.array().cast("array<string>")) for c in ("s_lemmas", "t_lemmas")]
+        return F.size(F.filter(F.flatten(F.transform(low[0], lambda a: F.transform(low[1], lambda b: F.struct(a.alias("a"), b.alias("b"))))), lambda x: test(x["a"], x["b"]))).cast("long")
+
+    trap_keys = [f"{min(p)} {max(p)}" for p in TRAPS]
+    trapped_pairs = lambda a, b: F.concat_ws(" ", F.least(F.lower(a), F.lower(b)), F.greatest(F.lower(a), F.lower(b))).isin(trap_keys)
+    weak = (F.col("relation_type") == "DERIVED_FROM") & ~F.col("epistemic_class").isin("EXPLICIT", "ATTESTED")
+    counts = {
+        "epistemic_domain": F.count_if(~F.coalesce(F.col("epistemic_class").isin(EPISTEMIC), F.lit(False))), "endpoint_types": F.count_if(wrong_ends), "dangling_edges": F.count_if(F.col("s_known").isNull() | F.col("t_known").isNull()),
+        "explicit_without_claim": F.count_if((F.col("epistemic_class") == "EXPLICIT") & F.col("backed").isNull()), "trap_pairs": F.coalesce(F.sum(pairs(trapped_pairs)), F.lit(0)),
+        "has_form_to_lexeme": F.count_if((F.col("relation_type") == "HAS_FORM") & F.col("t_lex")), "weak_prefix_derivations": F.coalesce(F.sum(F.when(weak, pairs(lambda a, b: a.startswith(b) | b.startswith(a)))), F.lit(0)),
+        "phonetic_edges": F.count_if(F.col("relation_type").contains("PHONETIC") | F.col("relation_type").contains("SOUNDEX")),
+    }
+    row = e.agg(*[c.cast("long").alias(g) for g, c in counts.items()])
+    told = row.select(F.explode(F.array(*[F.struct(F.lit(g).alias("gate"), F.col(g).alias("violations")) for g in counts])).alias("x")).select("x.*").withColumn("passed", F.col("violations") == 0)
+    rest = {"bridge_without_claim": orphan_keys(bridge, "claim_id", claims, "id"), "lexeme_form_collisions": nodes.filter("lex and form"), "derivation_cycles": cycles(edges, "DERIVED_FROM")}
+    return told.unionByName(report(rest))

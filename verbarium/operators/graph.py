@@ -149,16 +149,50 @@ def word_counts(lexemes: DataFrame, rows: DataFrame) -> DataFrame:
     return lexemes.select("lexeme_id", "lemma").distinct().join(n, "lexeme_id", "left").na.fill(0, ["n_senses", "n_forms", "n_links"])
 
 
-def word_page(lexemes: DataFrame, senses: DataFrame, edges: DataFrame, forms: DataFrame, per_kind: int = 25) -> DataFrame:
-    """A preview: one row per lexeme with arrays of its senses, forms and links; at most ``per_kind`` each, in order of id.
+def subgraph(terms: DataFrame, lexemes: DataFrame, edges: DataFrame, forms: DataFrame, senses: DataFrame, roots: int = 5, n_forms: int = 25, n_senses: int = 10, n_bases: int = 10) -> tuple[DataFrame, DataFrame]:
+    """The drawn surroundings of each of ``terms (term)``: nodes ``(term, id, type, label)`` and links ``(term, source, target, relation_type, evidence_type)``.
 
-    Whole pages are :func:`word_rows`. Links carry their direction. The limit is taken per lexeme before rows are gathered.
+    A term's roots are its first ``roots`` lexemes; each shows its first forms, senses with their synset, and bases; first by id.
+    The limits are the drawing's, per root; whole pages are :func:`word_rows`. ``lexemes``: ``lexeme_id, lemma``; ``senses``: ``lexeme_id, sense_id,
+    definition, synset_id``. Labels of senses are cut at 28 characters. Terms compare trimmed in lower case; unknown and null ones have no rows.
     """
     from verbarium.operators.claims import latest
 
-    s = latest(senses.select("lexeme_id", "sense_id", "definition"), ["lexeme_id"], per_kind, [F.col("sense_id")]).groupBy("lexeme_id").agg(F.array_sort(F.collect_list(F.struct("sense_id", "definition"))).alias("senses"))
-    f = latest(forms_of(lexemes, edges, forms).select("lexeme_id", "form_id", "surface").distinct(), ["lexeme_id"], per_kind, [F.col("form_id")]).groupBy("lexeme_id").agg(F.array_sort(F.collect_list(F.struct("form_id", "surface"))).alias("forms"))
-    links = derivational_links(edges)
-    k = latest(links, ["lexeme_id"], per_kind, [F.col("other"), F.col("direction")]).groupBy("lexeme_id").agg(F.array_sort(F.collect_list(F.struct("other", "direction"))).alias("links"))
-    page = lexemes.select("lexeme_id", "lemma").join(s, "lexeme_id", "left").join(f, "lexeme_id", "left").join(k, "lexeme_id", "left")
-    return page
+    key = lambda c: F.lower(F.trim(c))
+    lex = lexemes.groupBy("lexeme_id").agg(F.min("lemma").alias("lemma"))
+    asked = terms.filter("term is not null").select(key("term").alias("term")).distinct()
+    root = latest(lex.withColumn("term", key("lemma")).join(asked, "term"), ["term"], roots, [F.col("lexeme_id")]).select("term", "lexeme_id", "lemma")
+    own = edges.select(F.col("source_id").alias("lexeme_id"), F.col("target_id").alias("other"), "relation_type", "epistemic_class").distinct()
+    own = own.groupBy("lexeme_id", "other", "relation_type").agg(F.min("epistemic_class").alias("evidence_type"))
+    shown = forms.groupBy(F.col("form_id").alias("other")).agg(F.min("surface").alias("label"))
+
+    def first(kind: str, ends: DataFrame, n: int) -> DataFrame:
+        mine = own.filter(F.col("relation_type") == kind).join(root.select("term", "lexeme_id"), "lexeme_id").join(ends, "other")
+        return latest(mine, ["term", "lexeme_id"], n, [F.col("other")])
+
+    f = first("HAS_FORM", shown, n_forms)
+    b = first("DERIVED_FROM", lex.select(F.col("lexeme_id").alias("other"), F.col("lemma").alias("label")), n_bases)
+    told = senses.filter("synset_id is not null and definition is not null").select("lexeme_id", "sense_id", "definition", "synset_id").distinct()
+    s = latest(told.join(root.select("term", "lexeme_id"), "lexeme_id"), ["term", "lexeme_id"], n_senses, [F.col("sense_id"), F.col("definition"), F.col("synset_id")])
+    link = lambda df, a, z, kind, evidence: df.select("term", F.col(a).alias("source"), F.col(z).alias("target"), kind.alias("relation_type"), evidence.alias("evidence_type"))
+    links = link(f, "lexeme_id", "other", F.col("relation_type"), F.col("evidence_type")).unionByName(link(b, "lexeme_id", "other", F.col("relation_type"), F.col("evidence_type")))
+    links = links.unionByName(link(s, "lexeme_id", "sense_id", F.lit("HAS_SENSE"), F.lit("EXPLICIT"))).unionByName(link(s, "sense_id", "synset_id", F.lit("MEMBER_OF_SYNSET"), F.lit("EXPLICIT")))
+    node = lambda df, i, kind, label: df.select("term", F.col(i).alias("id"), F.lit(kind).alias("type"), label.alias("label"))
+    short = F.when(F.length("definition") > 28, F.concat(F.substring("definition", 1, 25), F.lit("..."))).otherwise(F.col("definition"))
+    nodes = node(root, "lexeme_id", "LEXEME", F.col("lemma")).unionByName(node(f, "other", "FORM", F.col("label"))).unionByName(node(b, "other", "LEXEME", F.col("label")))
+    nodes = nodes.unionByName(node(s, "sense_id", "SENSE", short)).unionByName(node(s, "synset_id", "SYNSET", F.concat(F.lit("Concept: "), F.substring("synset_id", 1, 8))))
+    return nodes.groupBy("term", "id", "type").agg(F.min("label").alias("label")), links.distinct()
+
+
+def base_forms(lexemes: DataFrame, edges: DataFrame, forms: DataFrame) -> DataFrame:
+    """``(lexeme_id, form_id, surface)``: the form of each lexeme that is spelled like it."""
+    return forms_of(lexemes, edges, forms).filter(F.lower(F.trim("lemma")) == F.lower(F.trim("surface"))).select("lexeme_id", "form_id", "surface").distinct()
+
+
+def senses_with_synsets(members: DataFrame, synsets: DataFrame) -> DataFrame:
+    """``(lexeme_id, sense_id, synset_id, definition, pos)``: senses with what their synset says; senses without a known synset stay.
+
+    ``members``: ``lexeme_id, sense_id, synset_id``; ``synsets``: ``synset_id, definition, pos``, of which the first definition by text holds.
+    """
+    one = synsets.groupBy("synset_id").agg(F.min("definition").alias("definition"), F.min("pos").alias("pos"))
+    return members.select("lexeme_id", "sense_id", "synset_id").distinct().join(one, "synset_id", "left").select("lexeme_id", "sense_id", "synset_id", "definition", "pos")

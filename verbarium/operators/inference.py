@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbarium.functions.ids import uuid5
 from verbarium.functions.morph import SLOT_FEATURES, inflect
+from verbarium.functions.text import feature_tags
 from verbarium.operators.claims import morphemes
 
-#: Rules as data: name, affix, kind, part of speech of base and of the derived word, pattern of the stem.
+# Rule names and stem patterns. Each rule: name, affix, kind, part of speech of base and of the derived word, pattern of the stem.
 AFFIX_RULES = [
     ("PREFIX_RE_VERB", "re-", "PREFIX", "VERB", "VERB", "^re([a-z]+)$"),
     ("PREFIX_UN_ADJ", "un-", "PREFIX", "ADJECTIVE", "ADJECTIVE", "^un([a-z]+)$"),
@@ -20,6 +21,11 @@ AFFIXES = [("un-", "PREFIX"), ("re-", "PREFIX"), ("-ness", "SUFFIX"), ("-ly", "S
 MIN_STEM = 3
 
 
+def inferred_claim(relation_id: Column) -> Column:
+    """The id of the claim that an inferred relation makes for itself."""
+    return uuid5(F.concat(F.lit("claim:inferred:"), relation_id))
+
+
 def infer_derivations(lexemes: DataFrame, existing: DataFrame, rules: list[tuple] = AFFIX_RULES) -> DataFrame:
     """INFERRED derivations whose base is attested: ``subject_id, object_id, rule, affix, id, claim_id, ...``.
 
@@ -41,7 +47,7 @@ def infer_derivations(lexemes: DataFrame, existing: DataFrame, rules: list[tuple
     rel = uuid5(F.concat(F.lit("rel:inferred:"), "subject_id", F.lit(":"), "object_id"))
     return new.select(
         rel.alias("id"), "subject_id", F.lit("DERIVED_FROM").alias("relation_type"), "object_id", F.lit("INFERRED").alias("evidence_type"), F.lit(0.75).alias("confidence"), F.lit("RESOLVED").alias("resolution_status"),
-        "rule", "affix", F.col("normalized_lemma").alias("target_lemma"), F.col("stem").alias("base_lemma"), uuid5(F.concat(F.lit("claim:inferred:"), rel)).alias("claim_id"),
+        "rule", "affix", F.col("normalized_lemma").alias("target_lemma"), F.col("stem").alias("base_lemma"), inferred_claim(rel).alias("claim_id"),
     )
 
 
@@ -56,6 +62,21 @@ def degree_chains(forms: DataFrame) -> DataFrame:
     )
 
 
+def degree_of(features: Column) -> Column:
+    """``comparative`` or ``superlative`` by the tags of a feature bundle, else null."""
+    tags = feature_tags(features)
+    return F.when(F.array_contains(tags, "CMPR"), "comparative").when(F.array_contains(tags, "SPRL"), "superlative")
+
+
+def degree_relations(forms: DataFrame) -> DataFrame:
+    """INFLECTS_TO relations from the comparative to the superlative of ``(lexeme, degree, form)``, GENERATED at 0.85."""
+    c = degree_chains(forms).select("comparative", "superlative").distinct()
+    return c.select(
+        uuid5(F.concat("comparative", F.lit(":INFLECTS_TO:"), "superlative")).alias("id"), F.lit("FORM").alias("subject_type"), F.col("comparative").alias("subject_id"), F.lit("INFLECTS_TO").alias("relation_type"),
+        F.lit("FORM").alias("object_type"), F.col("superlative").alias("object_id"), F.lit("GENERATED").alias("evidence_type"), F.lit(0.85).alias("confidence"), F.lit("INFERRED").alias("resolution_status"),
+    )
+
+
 def materialize_inflections(lexemes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Forms and relations of generated inflections of ``(id, normalized_lemma, pos)`` lexemes.
 

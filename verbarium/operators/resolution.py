@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbarium.functions.ids import uuid5
+from verbarium.functions.ids import NS_DNS, NS_URL, uuid5
 
 
 def conflicts(claims: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -79,6 +79,51 @@ def process_errata(queue: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataF
     return done, marked
 
 
+def errata_records(queue: DataFrame) -> DataFrame:
+    """The queue worked off, with what became of each pending row kept in ``metadata``.
+
+    ``queue``: ``id, conflict_type, source_a_claim, source_b_claim, metadata`` (JSON of one level, or null)``, status``. A row that is
+    not pending stays as it is. Fields already in the metadata stay, an older conflict record is replaced.
+    """
+    pending = F.col("status") == "PENDING"
+    lost = F.col("conflict_type") == "MISSING_ETYMOLOGY"
+    record = F.to_json(F.struct(F.col("source_a_claim").alias("source_a"), F.col("source_b_claim").alias("source_b"), F.when(lost, "UNATTESTED").otherwise("CONFLICT_PRESERVED").alias("resolved_as")), {"ignoreNullFields": "false"})
+    kept = F.map_filter(F.coalesce(F.from_json("metadata", "map<string,string>"), F.create_map().cast("map<string,string>")), lambda k, v: k != "conflict_record")
+    merged = F.to_json(F.map_concat(kept, F.create_map(F.lit("conflict_record"), record)))
+    status = F.when(pending & lost, "RESOLVED_UNATTESTED").when(pending, "RESOLVED_CONFLICT_PRESERVED").otherwise(F.col("status"))
+    return queue.select("id", "conflict_type", status.alias("status"), F.when(pending, merged).otherwise(F.col("metadata")).alias("metadata"), F.when(pending, F.lit("UNCERTAIN")).alias("epistemic_class"))
+
+
+def etymology_claims(relations: DataFrame, claims: DataFrame) -> DataFrame:
+    """``(relation_id, claim_id)``: ETYMOLOGICALLY_FROM relations and the claims that say so of their subject.
+
+    ``relations``: ``id, relation_type, subject_lemma``; compared trimmed in lower case.
+    """
+    key = lambda c: F.lower(F.trim(c))
+    r = relations.filter("relation_type = 'ETYMOLOGICALLY_FROM'").select(F.col("id").alias("relation_id"), key("subject_lemma").alias("_k"))
+    c = claims.filter("predicate = 'ETYMOLOGICALLY_FROM'").select(F.col("id").alias("claim_id"), key("subject").alias("_k"))
+    return r.join(c, "_k").select("relation_id", "claim_id").distinct()
+
+
+def mapped_edges(claims: DataFrame, lexemes: DataFrame, forms: DataFrame) -> DataFrame:
+    """HAS_FORM edges of inflection claims over the first id of each lemma and surface; what has none gets one of its own.
+
+    ``claims``: ``lemma, form, tags, source``; ``lexemes``: ``lemma, lexeme_id``; ``forms``: ``surface, form_id``, unique by name (see
+    :func:`first_ids`). Returns ``id, source_id, target_id, features, provenance, new_lexeme, new_form``; the sources of an edge are sorted and joined.
+    """
+    said = claims.filter("lemma is not null and form is not null").groupBy("lemma", "form", "tags").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("provenance"))
+    j = said.join(lexemes, "lemma", "left").join(forms.withColumnRenamed("surface", "form"), "form", "left")
+    lid = F.coalesce("lexeme_id", uuid5(F.concat(F.lower("lemma"), F.lit(":noun")), NS_DNS))
+    fid = F.coalesce("form_id", uuid5(F.lower("form"), NS_URL))
+    ends = j.select(lid.alias("source_id"), fid.alias("target_id"), F.col("tags").alias("features"), "provenance", F.col("lexeme_id").isNull().alias("new_lexeme"), F.col("form_id").isNull().alias("new_form"))
+    return ends.withColumn("id", uuid5(F.concat_ws(":", F.lit("has_form"), "source_id", "target_id", F.coalesce("features", F.lit("None"))))).distinct()
+
+
+def missing_lexemes(rows: DataFrame, lexemes: DataFrame) -> DataFrame:
+    """``(lexeme_id, lemma, pos)`` for lemmas of ``rows (lemma)`` that no lexeme has: nouns, until something else is known."""
+    return rows.filter("lemma is not null").select("lemma").distinct().join(lexemes.select("lemma"), "lemma", "left_anti").select(uuid5(F.concat(F.lower("lemma"), F.lit(":noun")), NS_DNS).alias("lexeme_id"), "lemma", F.lit("noun").alias("pos"))
+
+
 def first_ids(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """One value per key, the first by ``order``: the dimension that links names to ids."""
     return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(value, F.struct(order, value)).alias(value))

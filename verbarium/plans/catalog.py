@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verbarium.plans import lexical, problems
+from verbarium.plans import composed, lexical, problems
 
-QUERIES = {**problems.QUERIES, **lexical.QUERIES}
-ORACLE = {**problems.ORACLE, **lexical.ORACLE}
+QUERIES = {**problems.QUERIES, **lexical.QUERIES, **composed.QUERIES}
+ORACLE = {**problems.ORACLE, **lexical.ORACLE, **composed.ORACLE}
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

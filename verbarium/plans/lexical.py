@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from verbarium.functions import text as tx
 from verbarium.functions.ids import NS_DNS
 from verbarium.functions.morph import inflect
+from verbarium.lineage import cut
 from verbarium.operators import claims as cl
 from verbarium.operators import export, gates, graph, inference, resolution, search, workspace
 from verbarium.plans import sql
@@ -91,7 +92,7 @@ def entity_has_form(spark, sf):
 
 @query(f"""WITH {sql.LEX}, {sql.FORMS} SELECT DISTINCT {sql.uuid5("subject_id || ':HAS_FORM:' || object_id")} relation_id, claim_id FROM hf""")
 def provenance_has_form(spark, sf):
-    norm, lex = cl.normalized_forms(_claims(spark, sf)), _lexemes(spark, sf)
+    norm, lex = cut(cl.normalized_forms(_claims(spark, sf))), cut(_lexemes(spark, sf))  # each is read twice
     return cl.form_claims(cl.has_form_relations(norm, lex), norm, lex)
 
 
@@ -138,16 +139,9 @@ def features_parsed(spark, sf):
     return t.select("inflection_id", tx.bundle_pos(F.col("tg")).alias("pos"), tx.bundle_features(F.col("tg")).alias("f")).select("inflection_id", "pos", "f.*")
 
 
-@query("""SELECT DISTINCT id, array_to_string(coalesce(TRY_CAST(TRY_CAST(features_json AS JSON) AS VARCHAR[]), list_filter(list_transform(string_split(features_json, ','), lambda x: trim(x, ' ')), lambda x: x <> ''), []), '|') features
-FROM raw_inflections WHERE features_json IS NOT NULL AND (features_json LIKE '[%]' OR NOT regexp_matches(features_json, '[\\[{"]'))""")
-def features_json_list(spark, sf):
-    raw = table(spark, sf, "raw_inflections").filter(F.col("features_json").isNotNull() & (F.col("features_json").like("[%]") | ~F.col("features_json").rlike(r'[\[{"]')))
-    return raw.select("id", F.array_join(tx.json_list(F.col("features_json")), "|").alias("features")).distinct()
-
-
 @query("""SELECT DISTINCT id, array_to_string(coalesce(TRY_CAST(TRY_CAST(features_json AS JSON) AS VARCHAR[]), list_filter(list_transform(string_split(features_json, ','), lambda x: trim(x, ' ')), lambda x: x <> ''), []), '|') features
 FROM raw_inflections""")
-def features_json_list_whole(spark, sf):
+def features_json_list(spark, sf):
     return table(spark, sf, "raw_inflections").select("id", F.array_join(tx.json_list(F.col("features_json")), "|").alias("features")).distinct()
 
 
@@ -333,12 +327,6 @@ def graph_reach(spark, sf):
     return graph.reach(graph.adjacency(_edges(spark, sf), ["DERIVED_FROM", "VARIANT_OF"]), _gone(spark, sf), 3)
 
 
-@query(_ADJ + _adj("'DERIVED_FROM'") + """w AS (SELECT root, root node, [root] path, 0 d FROM roots UNION ALL SELECT w.root, a.other, list_append(path, a.other), d + 1 FROM w JOIN adj a ON a.node = w.node WHERE d < 2 AND NOT list_contains(path, a.other))
-SELECT DISTINCT root, node, d::INT AS "depth" FROM w WHERE d > 0""")
-def graph_family(spark, sf):
-    return graph.walks(graph.adjacency(_edges(spark, sf), ["DERIVED_FROM"]), _gone(spark, sf), 2).select("root", "node", "depth").distinct()
-
-
 @query(_ADJ + _adj("'HAS_FORM', 'INFLECTS_TO'", True) + """w AS (SELECT root, root node, root path, 0 d FROM roots UNION ALL SELECT w.root, a.other, path || '->' || a.other, d + 1 FROM w JOIN adj a ON a.node = w.node WHERE d < 3)
 SELECT root, node, d::INT AS "depth", path FROM w WHERE d > 0""")
 def graph_paths(spark, sf):
@@ -346,17 +334,9 @@ def graph_paths(spark, sf):
     return w.withColumn("path", F.array_join("path", "->"))
 
 
-@query(_ADJ + _adj("'DERIVED_FROM'") + """w AS (SELECT root, root node FROM roots UNION SELECT r.root, a.other FROM roots r JOIN adj a ON a.node = r.root),
-x AS (SELECT DISTINCT w.root, e.id, e.source_id, e.relation_type, e.target_id FROM w JOIN edges e ON e.source_id = w.node OR e.target_id = w.node)
-SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY root ORDER BY id, source_id, target_id) r FROM x) WHERE r <= 200""")
-def graph_incident_edges(spark, sf):
-    e = _edges(spark, sf)
-    return graph.incident_edges(graph.reach(graph.adjacency(e, ["DERIVED_FROM"]), _gone(spark, sf), 1), e, 200)
-
-
 @query(_ADJ + _adj("'DERIVED_FROM'") + """w AS (SELECT root, root node, [root] path, 0 d FROM roots UNION ALL SELECT w.root, a.other, list_append(path, a.other), d + 1 FROM w JOIN adj a ON a.node = w.node WHERE d < 3 AND NOT list_contains(path, a.other))
 SELECT DISTINCT root, node, d::INT AS "depth" FROM w WHERE d > 0""")
-def graph_family_whole(spark, sf):
+def graph_family(spark, sf):
     return graph.walks(graph.adjacency(_edges(spark, sf), ["DERIVED_FROM"]), _gone(spark, sf), 3).select("root", "node", "depth").distinct()
 
 
@@ -364,7 +344,7 @@ def graph_family_whole(spark, sf):
 ends AS (SELECT source_id node, id, source_id, relation_type, target_id FROM edges UNION SELECT target_id, id, source_id, relation_type, target_id FROM edges),
 x AS (SELECT DISTINCT root, id, source_id, relation_type, target_id FROM n JOIN ends USING (node))
 SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY root ORDER BY id, source_id, target_id, relation_type) r FROM x) WHERE r <= 200""")
-def graph_incident_edges_whole(spark, sf):
+def graph_incident_edges(spark, sf):
     e = _edges(spark, sf)
     return graph.incident_edges(graph.reach(graph.adjacency(e, graph.NEIGHBOUR_TYPES), _gone(spark, sf), 3), e, 200)
 
@@ -429,19 +409,6 @@ def why_connected(spark, sf):
     return e.join(b, "relation_id").join(_claims(spark, sf).select(F.col("id").alias("claim_id"), "source", "predicate"), "claim_id").distinct()
 
 
-@query(_NODES + """, p AS (SELECT lexeme_id, lemma, list(row(form_id, surface) ORDER BY form_id) fs FROM (SELECT *, row_number() OVER (PARTITION BY lexeme_id, lemma ORDER BY form_id) r FROM par) WHERE r <= 25 GROUP BY 1, 2),
-k AS (SELECT DISTINCT source_id l, target_id o, 'BASE' d FROM edges WHERE relation_type = 'DERIVED_FROM' UNION SELECT target_id, source_id, 'DERIVED' FROM edges WHERE relation_type = 'DERIVED_FROM'),
-n AS (SELECT l, least(count(*), 25) n FROM k GROUP BY 1)
-SELECT lex.lexeme_id, lex.lemma, coalesce(len(fs), 0) n_forms, coalesce(n, 0) n_links, list_transform(fs, lambda x: x[2])[1] first_form FROM (SELECT DISTINCT lexeme_id, lemma FROM lex) lex
-LEFT JOIN p ON p.lexeme_id = lex.lexeme_id LEFT JOIN n ON l = lex.lexeme_id""")
-def word_pages(spark, sf):
-    lex = _lex_nodes(spark, sf).select("lexeme_id", "lemma").distinct()
-    senses = lex.select("lexeme_id", F.lit("").alias("sense_id"), F.lit("").alias("definition")).limit(0)
-    page = graph.word_page(lex, senses, _edges(spark, sf), _form_nodes(spark, sf))
-    n = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).cast("long")
-    return page.select("lexeme_id", "lemma", n("forms").alias("n_forms"), n("links").alias("n_links"), F.get("forms", F.lit(0))["surface"].alias("first_form"))
-
-
 _WORDS = _NODES + f""", ids AS (SELECT DISTINCT lexeme_id FROM lex), mem AS (SELECT DISTINCT {sql.uuid5("'lexeme:' || lower(trim(lemma, ' ')) || ':' || lower(trim(pos, ' '))", NS_DNS)} lexeme_id, synset_id
   FROM staging_semantic_relations WHERE relation_type = 'MEMBER' AND lemma IS NOT NULL AND pos IS NOT NULL),
 def AS (SELECT DISTINCT synset_id, definition FROM staging_semantic_relations WHERE relation_type = 'SYNSET_DEF' AND definition IS NOT NULL),
@@ -505,7 +472,7 @@ def search_autocomplete_all(spark, sf):
     return search.autocomplete_all(_tiered(spark, sf), "canonical_form", "tier", "resolved_id", 3).select("prefix", "resolved_id", "rank")
 
 
-_FOLD = "translate(lower({}), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy')"
+_FOLD = "strip_accents(lower({}))"
 _INDEX = f"""WITH ix AS (SELECT unnest(regexp_extract_all({_FOLD.format('text')}, '[\\p{{L}}\\p{{N}}]+')) term, doc_id FROM documents WHERE text IS NOT NULL),
 n AS (SELECT term, doc_id, count(*) n FROM ix GROUP BY 1, 2)"""
 
@@ -542,18 +509,18 @@ _GATES = {
     "dangling_edges": "SELECT 1 FROM edges WHERE source_id IS NULL OR target_id IS NULL OR source_id NOT IN (SELECT resolved_id FROM resolved_entities) OR target_id NOT IN (SELECT resolved_id FROM resolved_entities)",
     "explicit_without_claim": "SELECT 1 FROM edges WHERE epistemic_class = 'EXPLICIT' AND id NOT IN (SELECT relation_id FROM relation_claims)",
     "bridge_without_claim": "SELECT 1 FROM relation_claims WHERE claim_id NOT IN (SELECT id FROM staging_claims)",
-    "trap_pairs": "SELECT 1 FROM edges WHERE false",
+    "trap_pairs": "SELECT 1 FROM edges e JOIN (SELECT DISTINCT resolved_id i, lower(canonical_form) l FROM resolved_entities WHERE entity_type = 'LEXEME') a ON a.i = source_id JOIN (SELECT DISTINCT resolved_id i, lower(canonical_form) l FROM resolved_entities WHERE entity_type = 'LEXEME') b ON b.i = target_id WHERE (least(a.l, b.l), greatest(a.l, b.l)) IN (VALUES ('car', 'carpet'), ('art', 'article'), ('riddance', 'ride'), ('go', 'goal'), ('pan', 'panic'), ('ear', 'early'), ('rat', 'ratio'), ('he', 'hero'), ('cat', 'catch'))",
     "lexeme_form_collisions": "SELECT DISTINCT resolved_id FROM resolved_entities WHERE entity_type = 'LEXEME' AND resolved_id IN (SELECT resolved_id FROM resolved_entities WHERE entity_type = 'FORM')",
     "has_form_to_lexeme": "SELECT 1 FROM edges WHERE relation_type = 'HAS_FORM' AND target_id IN (SELECT resolved_id FROM resolved_entities WHERE entity_type = 'LEXEME')",
     "derivation_cycles": "SELECT DISTINCT least(a.source_id, a.target_id), greatest(a.source_id, a.target_id) FROM edges a JOIN edges b ON a.source_id = b.target_id AND a.target_id = b.source_id WHERE a.relation_type = 'DERIVED_FROM' AND b.relation_type = 'DERIVED_FROM'",
     "weak_prefix_derivations": "SELECT 1 FROM edges e JOIN (SELECT DISTINCT resolved_id i, canonical_form l FROM resolved_entities WHERE entity_type = 'LEXEME') a ON a.i = source_id JOIN (SELECT DISTINCT resolved_id i, canonical_form l FROM resolved_entities WHERE entity_type = 'LEXEME') b ON b.i = target_id WHERE relation_type = 'DERIVED_FROM' AND epistemic_class NOT IN ('EXPLICIT', 'ATTESTED') AND (starts_with(a.l, b.l) OR starts_with(b.l, a.l))",
-    "phonetic_edges": "SELECT 1 FROM edges WHERE relation_type LIKE '%PHONETIC%'",
+    "phonetic_edges": "SELECT 1 FROM edges WHERE relation_type LIKE '%PHONETIC%' OR relation_type LIKE '%SOUNDEX%'",
 }
 
 
 @query(" UNION ALL ".join(f"SELECT '{g}' gate, count(*) violations, count(*) = 0 passed FROM ({q})" for g, q in _GATES.items()))
 def gate_report(spark, sf):
-    return gates.report(gates.lexical_gates(_edges(spark, sf), _entities(spark, sf), table(spark, sf, "relation_claims"), _claims(spark, sf)))
+    return gates.lexical_report(_edges(spark, sf), _entities(spark, sf), table(spark, sf, "relation_claims"), _claims(spark, sf))
 
 
 @query("""WITH e AS (SELECT DISTINCT source_id, target_id FROM edges WHERE relation_type = 'MORPHOLOGICALLY_RELATED')
@@ -573,10 +540,10 @@ def gate_wrong_ids(spark, sf):
     return gates.wrong_ids(_entities(spark, sf), "resolved_id", F.col("resolution_key")).select("resolved_id", "resolution_key")
 
 
-@query("""WITH a AS (SELECT provenance p, count(*) n FROM edges GROUP BY 1), b AS (SELECT provenance p, count(*) n FROM (SELECT DISTINCT * FROM edges) GROUP BY 1)
+@query("""WITH a AS (SELECT coalesce(provenance, 'none') p, count(*) n FROM edges GROUP BY 1), b AS (SELECT coalesce(provenance, 'none') p, count(*) n FROM (SELECT DISTINCT * REPLACE (coalesce(provenance, 'none') AS provenance) FROM edges) GROUP BY 1)
 SELECT a.p provenance, a.n a, b.n b FROM a JOIN b ON a.p = b.p WHERE a.n <> b.n""")
 def gate_parity(spark, sf):
-    e = _edges(spark, sf).filter("provenance is not null")
+    e = _edges(spark, sf).withColumn("provenance", F.coalesce("provenance", F.lit("none")))
     return gates.count_parity(e, e.distinct(), ["provenance"])
 
 
@@ -670,7 +637,7 @@ def source_senses(spark, sf):
 
 @query("""SELECT DISTINCT word, pos, f.form form, array_to_string(f.tags, ';') tags FROM (SELECT word, pos, unnest(forms) f FROM kaikki_english_20260805 WHERE word IS NOT NULL AND pos IS NOT NULL) WHERE f.form NOT LIKE '% %'""")
 def source_forms(spark, sf):
-    return readers.kaikki_forms(_kaikki(spark, sf)).withColumn("tags", F.when(F.col("tags") != "", F.col("tags")).otherwise(F.col("tags"))).distinct()
+    return readers.kaikki_forms(_kaikki(spark, sf)).distinct()
 
 
 @query("""SELECT DISTINCT d.word derived, base FROM (SELECT word base, unnest(derived) d FROM kaikki_english_20260805 WHERE word IS NOT NULL AND pos IS NOT NULL) WHERE d.word IS NOT NULL AND d.word NOT LIKE '% %'""")
@@ -689,6 +656,15 @@ def source_oewn_claims(spark, sf):
     return readers.oewn_claims(table(spark, sf, "oewn_2025")).select("claim_type", "source_key", "subject").distinct()
 
 
+@query("""WITH l AS (SELECT lexicon x FROM oewn_2025), e AS (SELECT unnest(x.entries) e FROM l), m AS (SELECT e.lemma, unnest(e.senses) q FROM e),
+c AS (SELECT 'OEWN_2025' s, q.id k, lemma, '{"synset":"' || q.synset || '"}' o FROM m WHERE q.id IS NOT NULL AND lemma IS NOT NULL AND q.synset IS NOT NULL)
+SELECT DISTINCT """ + sql.uuid5("s || '|' || k || '|SENSE_MEMBERSHIP|' || lemma || '|MEMBER_OF_SYNSET|' || o") + """ id, k source_key, lemma subject, o object_json FROM c""")
+def source_oewn_memberships(spark, sf):
+    """Whole claims with their ids; null parts of an id are left out of it, so rows that have any are not compared."""
+    c = readers.oewn_claims(table(spark, sf, "oewn_2025")).filter("claim_type = 'SENSE_MEMBERSHIP' and source_key is not null and subject is not null and object_json <> '{}'")
+    return c.select("id", "source_key", "subject", "object_json").distinct()
+
+
 @query(_NODES + """, own AS (SELECT DISTINCT lexeme_id FROM lex WHERE lower(lemma) IN (SELECT lower(lemma) FROM documents)),
 ids AS (SELECT lexeme_id n FROM own UNION SELECT target_id FROM edges WHERE relation_type = 'HAS_FORM' AND source_id IN (SELECT lexeme_id FROM own))
 SELECT id, source_id, target_id FROM edges WHERE source_id IN (SELECT n FROM ids) AND target_id IN (SELECT n FROM ids)""")
