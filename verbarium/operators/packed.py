@@ -46,10 +46,14 @@ def _unquote(token: Column) -> Column:
     )
 
 
-def _values(text: Column, ranked: Column, plain: bool) -> Column:
-    """The values of a text in order. ``ranked``: its source's delimiters, the best first; without any the text is one piece."""
-    bare = F.regexp_replace(text, _QUOTED, "Q")
-    own = F.get(F.filter(ranked, lambda d: F.contains(F.trim(bare), d)), F.lit(0))
+def _own(text: Column, ranked: Column) -> Column:
+    """The best of its source's delimiters that a text holds outside quotes."""
+    bare = F.trim(F.when(text.contains('"') | text.contains("'"), F.regexp_replace(text, _QUOTED, "Q")).otherwise(text))
+    return F.get(F.filter(ranked, lambda d: F.contains(bare, d)), F.lit(0))
+
+
+def _values(text: Column, own: Column, plain: bool) -> Column:
+    """The values of a text in order. ``own``: the delimiter it is cut at; without one it is one piece."""
     pieces = F.array(text)
     quoted = text.contains('"') | text.contains("'")
     for d in reversed(CANDIDATES):
@@ -185,6 +189,7 @@ def split_packed(rows: DataFrame, key: Column, source: Column, text: Column, as_
     best = infer_delimiters(seen, "source", "text").filter("score > 0").groupBy("source").agg(F.array_sort(F.collect_list(F.struct("rank", "delimiter")))["delimiter"].alias("ranked"))
     # one row per source; adaptive execution broadcasts it if its measured size allows
     ranked = F.coalesce("ranked", F.array().cast("array<string>"))
-    cut_up = base.join(best, "source", "left").select("row_key", F.flatten(F.transform("leaves", lambda x: F.when(x["apart"], _values(x["text"], ranked, plain)).otherwise(F.array(x["text"])))).alias("v"))
+    owned = base.join(best, "source", "left").select("row_key", F.transform("leaves", lambda x: F.struct(x["text"].alias("text"), x["apart"].alias("apart"), F.when(x["apart"], _own(x["text"], ranked)).alias("own"))).alias("leaves"))
+    cut_up = owned.select("row_key", F.flatten(F.transform("leaves", lambda x: F.when(x["apart"], _values(x["text"], x["own"], plain)).otherwise(F.array(x["text"])))).alias("v"))
     # outer, as for the inner explode Catalyst would add a filter that splits a second time
     return cut_up.select("row_key", F.posexplode_outer("v").alias("value_pos", "feature_value")).filter("value_pos is not null").select("row_key", (F.col("value_pos") + 1).alias("value_pos"), "feature_value").distinct()
