@@ -139,12 +139,13 @@ def leaked_spans(documents: DataFrame, doc_id: str, items: DataFrame, item_id: s
     table change nothing; texts of one id are searched each; other columns are not read.
 
     The test side is winnowed once; Spark sends it whole where its written size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles fingerprints (24 bytes) otherwise. Only documents with a hit are read again.
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles fingerprints (24 bytes a row) otherwise. Only documents with a hit are read again.
     """
     tests = winnow(items.select(item_id, text).distinct(), item_id, text, k, run, near=True)
     tests = cut(tests.select(F.col("key").alias("item"), "hash", F.col("place").alias("item_place"), "near", "off").distinct())
+    marks = cut(tests.select("item", "hash", "item_place"))  # a table of its own, as small as what is to be sent
     docs = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("doc_text")).filter("doc_text is not null")
-    found = winnow(docs, "doc", "doc_text", k, run).withColumnRenamed("key", "doc").join(tests, "hash")
+    found = winnow(docs, "doc", "doc_text", k, run).withColumnRenamed("key", "doc").join(marks, "hash").join(tests, ["item", "hash", "item_place"])
     hit = F.struct("item", "place", "item_place", "off", "near")
     by_doc = cut(found.groupBy("doc", F.pmod(F.xxhash64("item"), F.lit(SLICES)).alias("_s")).agg(F.collect_set(hit).alias("hits")))
     again = docs.join(by_doc.select("doc").distinct(), "doc", "left_semi").join(by_doc, "doc")
@@ -169,7 +170,7 @@ def leaked_spans(documents: DataFrame, doc_id: str, items: DataFrame, item_id: s
                         a, z = x, y
             yield pd.DataFrame(out, columns=["doc", "item", "doc_start", "item_start", "n_words"])
 
-    spans = spread(again).mapInPandas(extend, f"doc {kinds[0]}, item {kinds[1]}, doc_start int, item_start int, n_words int")
+    spans = again.mapInPandas(extend, f"doc {kinds[0]}, item {kinds[1]}, doc_start int, item_start int, n_words int")
     return spans.distinct().select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "doc_start", "item_start", "n_words")
 
 
