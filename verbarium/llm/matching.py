@@ -78,7 +78,7 @@ def headword_key(lemma: str | None) -> str:
     edge = " \t\n\r\"'.,;:“”‘’"
     s = whole = re.sub(r"\s+", " ", s).strip()
     s = s.strip(edge)
-    s = re.sub(r"(?<=\S)\s*(?:#\d+|\(\d+\)|(?<!\d)\.\d+)$", "", s).strip(edge)
+    s = re.sub(r"(?<=\S)(?:\s*(?:#\d+(?:\.\d+)?|\(\d+\)|(?<!\d)\.\d+))+$", "", s).strip(edge)
     s = re.sub(r"^(?:(?:to|the|an?)[\s_]+[\"'“‘]*(?=\S))+", "", s)
     s = "".join(c for c in s if c.isalnum() or unicodedata.category(c)[0] == "M") or whole
     for a, b in _ENDINGS:
@@ -288,18 +288,19 @@ def profiles(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ---------------------------------------------------------------- candidates
 
 
-def _met(rows: DataFrame, bands: Column) -> DataFrame:
-    """``(hw, hw2, e)`` of rows ``(hw, left, right)`` that share a band, ``e`` edits apart, at most a third of the longer one's letters.
+def _met(rows: DataFrame, bands: Column, once: bool) -> DataFrame:
+    """``(hw, hw2, e)`` of different headwords in rows ``(hw, left, right)`` that share a band, ``e`` edits apart, at most a third of the longer one's letters.
 
-    Equal sets share all bands, so one pairs equal headwords. A band holds each headword once, whatever glosses
-    or sounds it has there. Rows move once, to their bands.
+    A band holds each headword once, whatever glosses or sounds it has there; ``once``: it has one row anyway. Rows move once, to their bands.
     """
     parts = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # a number of partitions of its own: small as the rows are, signatures take time
-    long = rows.repartition(parts, "hw").select("hw", "left", "right", F.posexplode(bands).alias("i", "h")).withColumn("first", F.col("i") == 0).drop("i")
-    once = long.repartition(parts, "h").groupBy("h", "hw", "first").agg(F.max("left").alias("left"), F.max("right").alias("right"))
-    other = once.filter("right").select("h", F.col("hw").alias("hw2"))
-    met = once.filter("left").join(other, "h").filter("hw <> hw2 or first")
+    long = rows.repartition(parts, "hw").select("hw", "left", "right", F.explode(bands).alias("h")).repartition(parts, "h")
+    if not once:
+        long = long.groupBy("h", "hw").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    other = long.filter("right").select("h", F.col("hw").alias("hw2"))
+    # either side is spread over many partitions already, so none is sorted for it
+    met = long.filter("left").join(other.hint("shuffle_hash"), "h").filter("hw <> hw2")
     e = F.expr("levenshtein(hw, hw2, cast(floor(greatest(length(hw), length(hw2)) / 3) as int))")
     return met.select("hw", "hw2", e.alias("e")).filter("e >= 0")
 
@@ -313,13 +314,14 @@ def candidate_headwords(one: DataFrame, glosses: DataFrame) -> DataFrame:
     """
     marked = one.select("hw", "gid", "sound_k", (F.col("side") == "K").alias("left"), (F.col("side") != "K").alias("right"))
     flags = [F.max("left").alias("left"), F.max("right").alias("right")]
-    heads = marked.groupBy("hw").agg(*flags)
-    by_letters = _met(heads, _letters("hw"))
+    heads = cut(marked.groupBy("hw").agg(*flags))
+    by_letters = _met(heads, _letters("hw"), True)
     told = marked.filter("gid is not null").groupBy("hw", "gid").agg(*flags).join(glosses, "gid")
-    by_gloss = _met(told, _near_gloss("hw", "words", "weights"))
+    by_gloss = _met(told, _near_gloss("hw", "words", "weights"), False)
     heard = marked.filter("sound_k is not null").groupBy("hw", "sound_k").agg(*flags)
-    by_sound = _met(heard, _near_sound("hw", "sound_k"))
-    pairs = by_letters.unionByName(by_gloss).unionByName(by_sound).distinct()
+    by_sound = _met(heard, _near_sound("hw", "sound_k"), False)
+    equal = heads.filter("left and right").select("hw", F.col("hw").alias("hw2"), F.lit(0).alias("e"))  # equal sets share all bands
+    pairs = equal.unionByName(by_letters.unionByName(by_gloss).unionByName(by_sound).distinct())
     shorter = F.least(F.length("hw"), F.length("hw2"))
     stem = shorter - 2  # the end of a stem may change spelling before what is added
     longer = (F.greatest(F.length("hw"), F.length("hw2")) - shorter > 1) & (F.substring(F.col("hw"), F.lit(1), stem) == F.substring(F.col("hw2"), F.lit(1), stem))
@@ -350,8 +352,8 @@ def _sides(one: DataFrame, heads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return own, right.withColumn("rivals", F.log(F.greatest(F.lit(1), n)).cast("double")).drop(*parts)
 
 
-def _paired(left: DataFrame, right: DataFrame, heads: DataFrame, extra: list[str]) -> DataFrame:
-    return left.join(heads, "hw").join(right, ["hw2", *extra]).filter("pos is null or pos2 is null or pos = pos2")
+def _paired(led: DataFrame, right: DataFrame, extra: list[str]) -> DataFrame:
+    return led.join(right, ["hw2", *extra]).filter("pos is null or pos2 is null or pos = pos2")
 
 
 def _compared(pairs: DataFrame, glosses: DataFrame) -> DataFrame:
@@ -367,30 +369,31 @@ def _compared(pairs: DataFrame, glosses: DataFrame) -> DataFrame:
     return none.unionByName(both).select("pid", "pid2", "side2", "rivals", "peers", *_DIFFER, F.coalesce((F.col("pos") == F.col("pos2")).cast("int"), F.lit(0)).alias("pos_same"), heard.alias("sound"), "overlap")
 
 
-def candidate_pairs(one: DataFrame, glosses: DataFrame, heads: DataFrame) -> DataFrame:
-    """Pairs of profiles of side K and another side whose headwords are candidates and whose parts of speech do not clash, with features.
+def candidate_pairs(led: DataFrame, right: DataFrame, glosses: DataFrame) -> DataFrame:
+    """Pairs of profiles of side K, led to candidate headwords, and of another side whose parts of speech do not clash, with features.
 
     Two profiles with glosses are a pair if these share a band too, so that the many senses of a frequent headword do
     not all meet: of pairs that share a quarter of the weight all but one in 100 meet, of those that share half all but one in 60,000.
     """
-    left, right = _sides(one, heads)
     bands = cut(glosses.select("gid", F.explode(_senses("words", "weights")).alias("h")))
-    told = _paired(left.join(bands, "gid"), right.join(bands.withColumnRenamed("gid", "gid2"), "gid2"), heads, ["h"]).drop("h").distinct()
+    told = _paired(led.join(bands, "gid"), right.join(bands.withColumnRenamed("gid", "gid2"), "gid2"), ["h"]).drop("h").distinct()
     cols = told.columns
-    unsaid = _paired(left.filter("gid is null"), right, heads, []).select(*cols).unionByName(_paired(left.filter("gid is not null"), right.filter("gid2 is null"), heads, []).select(*cols))
+    unsaid = _paired(led.filter("gid is null"), right, []).select(*cols).unionByName(_paired(led.filter("gid is not null"), right.filter("gid2 is null"), []).select(*cols))
     return _compared(told.unionByName(unsaid), glosses)
 
 
-def _training_pairs(one: DataFrame, glosses: DataFrame, heads: DataFrame, most: int) -> DataFrame:
+def _training_pairs(led: DataFrame, right: DataFrame, glosses: DataFrame, most: int) -> DataFrame:
     """Pairs of profiles with glosses, whether these agree or not: the first of each headword, and of all, by hash."""
-    first = Window.partitionBy("side", "hw").orderBy(F.xxhash64("pid"), "pid")
-    few = one.filter("gid is not null").withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= TRAIN_PER_HEADWORD).select("pid")
-    left, right = _sides(one, heads)
-    left = left.join(few, "pid", "left_semi").orderBy(F.xxhash64("pid"), "pid").limit(most)
-    right = right.join(few.withColumnRenamed("pid", "pid2"), "pid2", "left_semi")
-    pairs = _paired(left, right, heads, []).orderBy(F.xxhash64("pid", "pid2"), "pid", "pid2").limit(most)
+
+    def first(df: DataFrame, by: list[str], pid: str, gid: str) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(F.xxhash64(pid), pid)
+        return df.filter(F.col(gid).isNotNull()).withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= TRAIN_PER_HEADWORD).drop("_r")
+
+    mine = cut(first(led, ["hw", "hw2"], "pid", "gid").orderBy(F.xxhash64("pid"), "pid", "hw2").limit(2 * most))
+    others = cut(first(right, ["side2", "hw2"], "pid2", "gid2"))
+    pairs = _paired(mine, others, []).orderBy(F.xxhash64("pid", "pid2"), "pid", "pid2").limit(most)
     # beside them some that chance brings together, for what different words have in common
-    some = [df.orderBy(F.xxhash64(k), k).limit(most // 4).withColumn("_i", F.row_number().over(Window.orderBy(F.xxhash64(F.lit(k), k), k))) for df, k in ((left, "pid"), (right, "pid2"))]
+    some = [df.orderBy(F.xxhash64(k), k).limit(most // 4).withColumn("_i", F.row_number().over(Window.orderBy(F.xxhash64(F.lit(k), k), k))) for df, k in ((mine.drop(*_DIFFER, "hw2"), "pid"), (others, "pid2"))]
     apart = [F.lit(int(c == "far")).alias(c) for c in _DIFFER]
     chance = some[0].join(some[1], "_i").filter("hw <> hw2").select("*", *apart).select(*pairs.columns)
     return _compared(pairs.unionByName(chance), glosses)
@@ -478,9 +481,11 @@ def matched_profiles(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[Dat
     prof, glosses = profiles(rows.select("key", "side", "lemma", "pos", "gloss", "sound"))
     one = cut(prof.select(*_SAID).distinct())
     heads = cut(candidate_headwords(one, glosses))
-    pairs = cut(candidate_pairs(one, glosses, heads))
+    left, right = _sides(one, heads)
+    led, right = cut(left.join(heads, "hw")), cut(right)
+    pairs = cut(candidate_pairs(led, right, glosses))
     of_right, of_left = (cut(x) for x in _good(pairs))
-    form, gloss, _ = fit(_contested(_training_pairs(one, glosses, heads, TRAIN_PAIRS), of_right, of_left).toPandas())
+    form, gloss, _ = fit(_contested(_training_pairs(led, right, glosses, TRAIN_PAIRS), of_right, of_left).toPandas())
     drop(one)
     terms = [F.lit(1.0), *[F.col(c) for c in _DIFFER], F.col("pos_same"), (F.col("sound") > 0).cast("int"), (F.col("sound") < 0).cast("int"), F.col("rivals"), F.when(F.col("overlap").isNull(), F.col("taken")).otherwise(0.0)]
     # where both glosses are known they speak for themselves, whatever other partners there are
