@@ -1,6 +1,7 @@
 import hashlib
 import json
 
+from verbarium.functions import clock
 from verbarium.operators.hierarchy import hierarchy
 from verbarium.sources import readers as rd
 
@@ -78,3 +79,25 @@ def test_manifest(spark, tmp_path):
 def test_scale_tree(spark):
     rows = {r.node: r.depth for r in hierarchy(rd.scale_tree(spark, 1000)).collect()}
     assert len(rows) == 1000 and rows["n0"] == 0 and rows["n4"] == 2 and max(rows.values()) == 6
+
+
+def test_yaml_members_and_preflight(spark, tmp_path):
+    rows = [("00000001-n", True, '{"partOfSpeech":"n","members":["a","b"],"definition":["first","second"],"hypernym":["00000002-n"]}'), ("00000002-n", True, '{"partOfSpeech":"n"}'), ("word", False, '{"members":["x"]}')]
+    parsed = spark.createDataFrame(rows, "key string, is_synset boolean, body string")
+    got = {tuple(r) for r in rd.yaml_members(parsed).collect()}
+    assert got == {("00000001-n", "MEMBER", "a", "n", None), ("00000001-n", "MEMBER", "b", "n", None), ("00000001-n", "SYNSET_DEF", None, "n", "first"), ("00000001-n", "SYNSET_DEF", None, "n", "second")}
+    kept = rd.yaml_members(parsed, spark.createDataFrame([("b",)], "lemma string")).filter("relation_type = 'MEMBER'").collect()
+    assert [r.lemma for r in kept] == ["b"]
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "f").write_text("x" * 10)
+    p = f"file://{tmp_path}/d"
+    found = {r.name: (r.bytes, r.files, r.status) for r in rd.preflight(spark, {"ok": (p, 10, 1), "small": (p, 11, 1), "few": (p, 1, 2), "gone": (p + "x", 0, 0)}).collect()}
+    assert found == {"ok": (10, 1, "OK"), "small": (10, 1, "SMALL"), "few": (10, 1, "FEW"), "gone": (0, 0, "MISSING")}
+
+
+def test_clock(spark):
+    from datetime import datetime, timedelta, timezone
+
+    at = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone(timedelta(hours=2)))
+    r = spark.range(1).select(clock.utc_iso(at).alias("iso"), clock.epoch_seconds(at).alias("s"), clock.epoch_millis(at).alias("ms"), clock.stamped("t", at)).first()
+    assert r.iso == "2026-01-02T01:04:05.000000Z" and r.s * 1000 == r.ms == 1767315845000 and r.t is not None

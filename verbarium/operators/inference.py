@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbarium.functions.ids import uuid5
+from verbarium.functions.ids import morpheme_key, uuid5
 from verbarium.functions.morph import SLOT_FEATURES, inflect
 from verbarium.functions.text import feature_tags
 from verbarium.operators.claims import morphemes
@@ -107,6 +107,13 @@ def structures(derivations: DataFrame) -> DataFrame:
     return derivations.select(F.col("subject_id").alias("target_id"), F.when(prefix, F.array(affix, stem)).otherwise(F.array(stem, affix)).alias("components"))
 
 
+def contains_morphemes(derivations: DataFrame) -> DataFrame:
+    """CONTAINS_MORPHEME edges from the derived words of :func:`infer_derivations` rows to their affix and their root, in order."""
+    parts = structures(derivations).select("target_id", F.posexplode("components").alias("place", "c"))
+    to = uuid5(morpheme_key(F.col("c.shape"), F.col("c.type")))
+    return parts.select(uuid5(F.concat_ws(":", "target_id", F.lit("CONTAINS_MORPHEME"), to)).alias("id"), F.col("target_id").alias("source_id"), F.lit("CONTAINS_MORPHEME").alias("relation_type"), to.alias("target_id"), (F.col("place") + 1).alias("place")).distinct()
+
+
 def affix_morphemes(spark: SparkSession) -> DataFrame:
     """The catalogue of productive affixes as morpheme nodes."""
     return morphemes(spark.createDataFrame(AFFIXES, "shape string, type string")).withColumn("status", F.lit("ATTESTED"))

@@ -122,6 +122,17 @@ def lexemes_missing(spark, sf):
     return resolution.missing_lexemes(table(spark, sf, "staging_inflections"), lexical._lex_nodes(spark, sf))
 
 
+@query(lexical._DERIVED + f""", m AS (SELECT subject_id, rule, base FROM d WHERE base IS NOT NULL),
+p AS (SELECT subject_id, CASE rule WHEN 'PREFIX_RE_VERB' THEN 're-:PREFIX' WHEN 'PREFIX_UN_ADJ' THEN 'un-:PREFIX' ELSE base || ':ROOT' END k, 1 place FROM m
+  UNION ALL SELECT subject_id, CASE rule WHEN 'SUFFIX_ABLE_VERB_TO_ADJ' THEN '-able:SUFFIX' ELSE base || ':ROOT' END, 2 FROM m),
+t AS (SELECT subject_id, {sql.uuid5("'morpheme:' || k")} m, place FROM p)
+SELECT DISTINCT {sql.uuid5("subject_id || ':CONTAINS_MORPHEME:' || m")} id, subject_id source_id, m target_id, place::INT place FROM t""")
+def morpheme_edges(spark, sf):
+    lex = lexical._token_lexemes(spark, sf)
+    none = lex.select(F.col("id").alias("subject_id"), F.col("id").alias("object_id")).limit(0)  # every derivation counts, stated or not
+    return inference.contains_morphemes(inference.infer_derivations(lex, none)).select("id", "source_id", "target_id", "place")
+
+
 # ---------------------------------------------------------------- evidence
 
 @query("""SELECT id, conflict_type, CASE st WHEN 'PENDING' THEN CASE conflict_type WHEN 'MISSING_ETYMOLOGY' THEN 'RESOLVED_UNATTESTED' ELSE 'RESOLVED_CONFLICT_PRESERVED' END ELSE st END status,

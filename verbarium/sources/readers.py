@@ -78,6 +78,20 @@ def yaml_relations(parsed: DataFrame) -> DataFrame:
     return rows.select("synset_id", "relation_type", F.explode("t").alias("target_synset_id")).filter(F.col("target_synset_id").rlike(r"^\d{8}-[a-z]$"))
 
 
+def yaml_members(parsed: DataFrame, members: DataFrame | None = None) -> DataFrame:
+    """``(synset_id, relation_type, lemma, pos, definition)``: a MEMBER row per member of a synset and a SYNSET_DEF row per definition.
+
+    ``members (lemma)`` keeps the MEMBER rows of those lemmas only. Synsets without either give no rows.
+    """
+    field = lambda f: F.get_json_object("body", f"$.{f}")
+    syn = parsed.filter("is_synset").select(F.col("key").alias("synset_id"), field("partOfSpeech").alias("pos"), F.from_json(field("members"), "array<string>").alias("m"), F.from_json(field("definition"), "array<string>").alias("d"))
+    none = F.lit(None).cast("string")
+    own = syn.select("synset_id", F.lit("MEMBER").alias("relation_type"), F.explode("m").alias("lemma"), "pos", none.alias("definition"))
+    own = own if members is None else own.join(members.select("lemma").distinct(), "lemma", "left_semi")
+    told = syn.select("synset_id", F.lit("SYNSET_DEF").alias("relation_type"), none.alias("lemma"), "pos", F.explode("d").alias("definition"))
+    return own.unionByName(told)
+
+
 def oewn_map_tables(df: DataFrame) -> dict[str, DataFrame]:
     """The map form as flat tables: synsets, senses, hypernym links, derivation links."""
     syn = df.select(F.explode("synsets").alias("synset_id", "s"))
@@ -155,6 +169,24 @@ def verify_manifest(spark: SparkSession, manifest: dict[str, tuple[str, str]]) -
     return want.join(have, "name", "left").select("name", state.alias("status"), "bytes")
 
 
+def preflight(spark: SparkSession, expected: dict[str, tuple[str, int, int]]) -> DataFrame:
+    """``(name, bytes, files, status)`` of ``{name: (path, least bytes, least files)}``: OK, MISSING, SMALL or FEW.
+
+    Files are listed, not read; a folder counts with all below it.
+    """
+    rows = []
+    for name, (path, least_bytes, least_files) in expected.items():
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(target):
+            rows.append((name, 0, 0, "MISSING"))
+            continue
+        found = files.getContentSummary(target)
+        size, n = found.getLength(), found.getFileCount()
+        rows.append((name, size, n, "SMALL" if size < least_bytes else "FEW" if n < least_files else "OK"))
+    return spark.createDataFrame(rows, "name string, bytes long, files long, status string")
+
+
 def numbers(spark: SparkSession, n: int) -> DataFrame:
     """``(i)``: 0 to n - 1, for fixtures at scale."""
     return spark.range(n).withColumnRenamed("id", "i")
