@@ -49,6 +49,8 @@ SENSE = Bands(1, 16, 5)
 #: Labelled pairs the classifiers are fitted and calibrated on, at most, and profiles of one headword among them.
 TRAIN_PAIRS, TRAIN_PER_HEADWORD = 30_000, 20
 THRESHOLD = 0.5
+#: Profiles of a headword from which on its pairs are found by band.
+BUSY = 50
 
 # Tags of the sources and the part of speech they stand for; others say nothing.
 _POS = {
@@ -375,11 +377,16 @@ def candidate_pairs(led: DataFrame, right: DataFrame, glosses: DataFrame) -> Dat
     Two profiles with glosses are a pair if these share a band too, so that the many senses of a frequent headword do
     not all meet: of pairs that share a quarter of the weight all but one in 100 meet, of those that share half all but one in 60,000.
     """
-    bands = cut(glosses.select("gid", F.explode(_senses("words", "weights")).alias("h")))
-    told = _paired(led.join(bands, "gid"), right.join(bands.withColumnRenamed("gid", "gid2"), "gid2"), ["h"]).drop("h").distinct()
-    cols = told.columns
-    unsaid = _paired(led.filter("gid is null"), right, []).select(*cols).unionByName(_paired(led.filter("gid is not null"), right.filter("gid2 is null"), []).select(*cols))
-    return _compared(told.unionByName(unsaid), glosses)
+    bands = cut(glosses.select("gid", _senses("words", "weights").alias("h")))
+    one, two = (cut(df.join(bands.select(F.col("gid").alias(g), F.col("h").alias(h)), g, "left")) for df, g, h in ((led, "gid", "h1"), (right, "gid2", "h2")))
+    # the same pairs either way: the few headwords with many profiles go by band, so that none has all its pairs looked at
+    busy = one.groupBy("hw2").agg(F.count(F.lit(1)).alias("n")).unionByName(two.groupBy("hw2").agg(F.count(F.lit(1)).alias("n"))).filter(F.col("n") > BUSY).select("hw2").distinct()
+    busy = cut(busy)
+    some = _paired(one.join(busy, "hw2", "left_anti"), two.join(busy, "hw2", "left_anti"), []).filter("h1 is null or h2 is null or arrays_overlap(h1, h2)").drop("h1", "h2")
+    many, more = one.join(busy, "hw2", "left_semi"), two.join(busy, "hw2", "left_semi")
+    told = _paired(many.withColumn("h", F.explode("h1")), more.withColumn("h", F.explode("h2")), ["h"]).drop("h", "h1", "h2").distinct()
+    unsaid = _paired(many.filter("gid is null"), more, []).unionByName(_paired(many.filter("gid is not null"), more.filter("gid2 is null"), [])).drop("h1", "h2")
+    return _compared(some.unionByName(told).unionByName(unsaid), glosses)
 
 
 def _training_pairs(led: DataFrame, right: DataFrame, glosses: DataFrame, most: int) -> DataFrame:
