@@ -136,6 +136,6 @@ ORACLE = {
     "p7_found": _LEAKS + "SELECT doc_id, item_id FROM leaks",
     "p8_checks": """SELECT lower(trim(m.source, ' ')) source, count(doc_id) n_documents, true cap_kept, true share_reached FROM mix_targets m LEFT JOIN documents d
         ON lower(trim(d.source, E' \\t\\n\\r' || chr(160))) = lower(trim(m.source, ' ')) GROUP BY 1""",
-    "p9_checks": r"""SELECT doc_id, profile, true within, true numbered, md5(text) text_md5 FROM documents, (SELECT DISTINCT profile, max_tokens FROM split_limits) WHERE len(regexp_extract_all(text, '\p{L}+')) > max_tokens""",
+    "p9_checks": r"""SELECT doc_id, profile, true AS "within", true AS numbered, md5(text) text_md5 FROM documents, (SELECT DISTINCT profile, max_tokens FROM split_limits) WHERE len(regexp_extract_all(text, '\p{L}+')) > max_tokens""",
     "p7_items": _LEAKS + "SELECT item_id, count(*) n_documents FROM leaks GROUP BY 1",
 }
