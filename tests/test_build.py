@@ -59,6 +59,7 @@ def test_lookup_by_subject_reads_its_columns_only(spark, tmp_path):
     """A published relation is found with the filter and no column more than asked for at the scan."""
     root = batch.publish_build(ledger(spark), f"file://{tmp_path}")
     df = spark.read.parquet(f"{root}/relations.parquet").filter("subject_id = 'x' and relation_type = 'HAS_FORM'").select("object_id", "relation_type")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(subject_id,x)" in plan and "EqualTo(relation_type,HAS_FORM)" in plan and "ReadSchema: struct<subject_id:string,relation_type:string,object_id:string>" in plan
 

@@ -181,6 +181,34 @@ def _unnested(alias: str, expr: str) -> str:
     return f"LATERAL (SELECT unnest({expr}) v, generate_subscripts({expr}, 1) i) {alias}"
 
 
+def _nodes_of(prefix: str, path: str, place: int, up: str, array: str, fields: list, key: str, source: str, depth: int = 0) -> list[str]:
+    """SELECTs of the nodes of an array of structs; ``fields``: (name, ordinal, None | "array" | fields of an array of structs)."""
+    e = "abc"[depth]
+    from_ = f"{source}, {_unnested(e, array)}"
+    label = f"{prefix} || '{place}.' || {e}.i"
+    row = lambda p, lab, parent, value: f"SELECT {key} root_key, '{p}' field_path, {lab} \"label\", {parent} parent_label, {value} AS \"value\" FROM "
+    out = [row(path, label, up, "NULL::VARCHAR") + from_]
+    for name, k, kind in fields:
+        own = f"{path}.{name}"
+        if kind is None:
+            out.append(row(own, f"{label} || '.{k}'", label, f'{e}.v."{name}"') + from_)
+        elif kind == "array":
+            out.append(row(own, f"{label} || '.{k}.' || z.i", label, "z.v") + f"{from_}, {_unnested('z', f'{e}.v."{name}"')}")
+        else:
+            out += _nodes_of(f"{label} || '.'", own, k, label, f'{e}.v."{name}"', kind, key, from_, depth + 1)
+    return out
+
+
+_SCALARS = lambda *names: [(n, i, None) for i, n in enumerate(names, 1)]
+_KAIKKI_TREE = {
+    "sounds": [("ipa", 1, None), ("tags", 2, "array"), ("audio", 3, None)], "senses": [("glosses", 1, "array"), ("tags", 2, "array"), ("examples", 3, _SCALARS("text", "type"))],
+    "forms": [("form", 1, None), ("tags", 2, "array")], "derived": _SCALARS("word"),
+}
+_OEWN_TREE = {"entries": (4, [*_SCALARS("id", "lemma", "pos"), ("senses", 4, _SCALARS("id", "synset"))]), "synsets": (5, _SCALARS("id", "pos", "definition"))}
+_ALL_NODES = [x for i, (c, f) in enumerate(_KAIKKI_TREE.items(), 1) for x in _nodes_of("''", c, i, "''", f"k.{c}", f, "'kaikki:' || record_id", "kaikki_english_20260805 k")]
+_ALL_NODES += [f"SELECT 'oewn:' || file_id, 'lexicon.{c}', '1.{i}', '1', o.lexicon.{c} FROM oewn_2025 o" for i, c in enumerate(("id", "label", "language"), 1)]
+_ALL_NODES += [x for c, (i, f) in _OEWN_TREE.items() for x in _nodes_of("'1.'", f"lexicon.{c}", i, "'1'", f"o.lexicon.{c}", f, "'oewn:' || file_id", "oewn_2025 o")]
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -217,6 +245,7 @@ SELECT DISTINCT * FROM (
   UNION ALL SELECT 'kaikki:' || record_id, 'sounds.ipa', a.i::INT, 0, a.v.ipa FROM kaikki_english_20260805 k, {_unnested('a', 'k.sounds')}
   UNION ALL SELECT 'oewn:' || file_id, 'lexicon.entries.id', a.i::INT, 0, a.v.id FROM oewn_2025 o, {_unnested('a', 'o.lexicon.entries')})
 WHERE regexp_matches(val, '[^\\s\\p{{Z}}]')""".replace("SELECT DISTINCT *", "SELECT DISTINCT root_key, field_path, outer_pos, inner_pos"),
+    "p5_nodes": " UNION ".join(_ALL_NODES),
     "p5_sounds": f"""
 SELECT DISTINCT 'kaikki:' || record_id root_key, '1.' || a.i AS label, '' parent_label, a.i::VARCHAR place, a.v.ipa ipa, a.v.audio audio
 FROM kaikki_english_20260805 k, {_unnested('a', 'k.sounds')}""",
