@@ -56,10 +56,10 @@ def test_family_and_neighbourhood_reach_depth_three(spark, tmp_path):
     rows = [("l1", "DERIVED_FROM", "l2"), ("l3", "DERIVED_FROM", "l2"), ("l4", "DERIVED_FROM", "l3"), ("l5", "DERIVED_FROM", "l4"), ("l3", "HAS_FORM", "f1"), ("l1", "SYNONYM_OF", "l9"), ("f1", "INFLECTS_TO", "f2"), ("l9", "HAS_FORM", "f9")]
     spark.createDataFrame([(f"e{i}", *r) for i, r in enumerate(rows)], "id string, source_id string, relation_type string, target_id string").write.parquet(f"{tmp_path}/edges.parquet")
     spark.createDataFrame([("l1", "LEXEME", 1), ("l4", "LEXEME", None)], "resolved_id string, entity_type string, deleted_at long").write.parquet(f"{tmp_path}/resolved_entities.parquet")
-    family = catalog.QUERIES["graph_family_whole"](spark, str(tmp_path)).collect()
+    family = catalog.QUERIES["graph_family"](spark, str(tmp_path)).collect()
     assert {tuple(r) for r in family} == {("l1", "l2", 1), ("l1", "l3", 2), ("l1", "l4", 3)} and len(family) == 3
     # reached: l1, l2, l3, l4 and f1; not l5, l9, f2
-    near = catalog.QUERIES["graph_incident_edges_whole"](spark, str(tmp_path)).collect()
+    near = catalog.QUERIES["graph_incident_edges"](spark, str(tmp_path)).collect()
     assert sorted((r.root, r.id) for r in near) == [("l1", f"e{i}") for i in range(7)]
 
 
