@@ -69,8 +69,8 @@ def _follow(rows: DataFrame, target: DataFrame, hottest: int, total: int, how: s
     return rows.join(target.drop("n"), "up", how)
 
 
-def _sizes_upward(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None, int, list[DataFrame]]:
-    """``(node, size)`` of the inner nodes of trees, the nodes that never arrive at a root, the rounds, and the tables read.
+def _sizes_upward(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None, list[int], list[DataFrame]]:
+    """``(node, size)`` of the inner nodes of trees, the nodes that never arrive at a root, the most pointers to one node in each round, and the tables read.
 
     In round ``k`` a node that has not arrived points to its ancestor ``2 ** k`` steps up and knows the size of what
     lies less than ``2 ** k`` steps below it. It hands this to the ancestor and takes over its pointer; where there
@@ -80,7 +80,7 @@ def _sizes_upward(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None, int, l
     leaves = nodes.filter("not inner").groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("n"))
     start = nodes.filter("inner").join(leaves, "node", "left").select("node", F.col("parent").alias("up"), (F.coalesce("n", F.lit(0)) + 1).alias("size"), F.col("node").alias("low"))
     state, open_now = cut_and_count(start, "up is not null")
-    tables, rounds = [state], 0
+    tables, rounds = [state], []
     while open_now:
         moving = state.filter("up is not null").select("node", "up", "size", "low")
         # a row for what is handed to a node, beside the node's own if it has not arrived
@@ -94,7 +94,7 @@ def _sizes_upward(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None, int, l
         state, open_now = cut_and_count(moved.unionByName(sized.filter("up is null").drop("n")), "up is not null")
         drop(handed)
         tables.append(state)
-        rounds += 1
+        rounds.append(hottest)
         if open_now == before:
             break
     stuck = state.filter("up is not null").select("node", "up", "low") if open_now else None
@@ -113,21 +113,23 @@ def _sibling_offsets(kids: DataFrame) -> DataFrame:
     return placed.withColumn("off", F.col("parent").isNotNull().cast("long") + F.col("_start") + F.col("_in")).drop("_start", "_in", "_salt", "_p")
 
 
-def _ranges_downward(placed: DataFrame, rounds: int) -> tuple[DataFrame, list[DataFrame]]:
-    """``(node, lft)`` of inner nodes: the sum of the offsets from the root down; and the tables read."""
+def _ranges_downward(placed: DataFrame, rounds: list[int]) -> tuple[DataFrame, list[DataFrame]]:
+    """``(node, lft)`` of inner nodes: the sum of the offsets from the root down; and the tables read.
+
+    The pointers of a round are those of the same round upward, so its hottest key is known.
+    """
     state, open_now = cut_and_count(placed.filter("inner").select("node", F.col("parent").alias("up"), F.col("off").alias("lft")), "up is not null")
     tables = [state]
-    for _ in range(rounds):
+    for hottest in rounds:
         if not open_now:
             break
         moving = state.filter("up is not null")
         # the pointer leads to one that has arrived, in any round, or to one that moves too
-        known = _union([*[t.filter("up is null") for t in tables], moving])
-        pointed, hottest = _pointed(moving)
-        target = known.join(pointed, "node").select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("lft").alias("lft2"), "n")
+        target = _union([*[t.filter("up is null") for t in tables], moving]).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("lft").alias("lft2"))
+        if hottest > STALL:
+            target = target.join(moving.groupBy("up").agg(F.count(F.lit(1)).alias("n")), "up")
         moved = _follow(moving, target, hottest, open_now).select("node", F.col("up2").alias("up"), (F.col("lft") + F.col("lft2")).alias("lft"))
         state, open_now = cut_and_count(moved, "up is not null")
-        drop(pointed)
         tables.append(state)
     return _union([t.filter("up is null").select("node", "lft") for t in tables]), tables
 
@@ -193,7 +195,7 @@ def hierarchy(links: DataFrame, with_path: bool = False) -> DataFrame:
     sized = nodes.filter("inner").join(sizes, "node").unionByName(nodes.filter("not inner").withColumn("size", F.lit(1).cast("long")))
     placed = cut(_sibling_offsets(sized))
     drop(*(read if stuck is None else read[:-1]))
-    inner, read = _ranges_downward(placed, rounds + 1)
+    inner, read = _ranges_downward(placed, rounds)
     inner = cut(inner)
     drop(*read)
     leaves = placed.filter("not inner")
