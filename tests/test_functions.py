@@ -1,3 +1,4 @@
+import hashlib
 import unicodedata
 import uuid
 
@@ -63,3 +64,17 @@ def test_inflection(spark):
         assert got[k][0] == v, k
     assert got["go", "past"][1] == "SUPPLETIVE" and got["mouse", "plural"][1] == "IRREGULAR" and not any(k[0] in ("x", "", None) for k in got)
     assert one(spark, morph.form_type(F.lit("go"), F.lit("went"))) == "SUPPLETIVE" and one(spark, morph.form_type(F.lit("a"), F.lit("a"))) == "BASE"
+
+
+def test_keys_and_small_gates(spark):
+    from verbarium.functions import ids
+    from verbarium.operators import gates
+
+    one = spark.range(1).select(
+        ids.form_hash_key(F.lit("went"), F.lit('{"tense":"past"}')).alias("f"), ids.sense_key(F.lit("eng:go:VERB"), F.lit("s1")).alias("s"), F.lit(1.5).alias("score"), F.struct(F.lit(1).alias("x")).alias("node"),
+    )
+    r = one.first()
+    assert r.f == "eng:went:" + hashlib.sha256(b'{"tense":"past"}').hexdigest()[:12] and r.s == "eng:go:VERB:sense:s1"
+    assert gates.nested_columns(one, {"score"}) == ["node"]
+    have, want = (spark.createDataFrame(x, "lemma string, form string") for x in ([("go", "went")], [("go", "went"), ("be", "was")]))
+    assert [tuple(x) for x in gates.missing_pairs(have, want).collect()] == [("be", "was")]

@@ -128,11 +128,6 @@ def morphemes(rows: DataFrame) -> DataFrame:
     return rows.select("shape", "type").filter("shape <> ''").distinct().withColumn("id", uuid5(morpheme_key(F.col("shape"), F.col("type"))))
 
 
-def conform(rows: DataFrame, schema) -> DataFrame:
-    """``rows`` in the columns of ``schema``: missing ones null, others cast, extra ones dropped."""
-    return rows.select(*[(F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def latest(rows: DataFrame, keys: list[str], n: int, order: list[Column]) -> DataFrame:
     """The first ``n`` rows per key."""
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_r") <= n).drop("_r")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verbarium.functions.text import shortened
+
 MAX_DEPTH = 3
 # The relation types that a neighbourhood follows; links between synsets are no edges of the lexical tables.
 NEIGHBOUR_TYPES = ["DERIVED_FROM", "HYPERNYM", "SIMILAR", "ALSO", "HAS_FORM"]
@@ -178,7 +180,7 @@ def subgraph(terms: DataFrame, lexemes: DataFrame, edges: DataFrame, forms: Data
     links = link(f, "lexeme_id", "other", F.col("relation_type"), F.col("evidence_type")).unionByName(link(b, "lexeme_id", "other", F.col("relation_type"), F.col("evidence_type")))
     links = links.unionByName(link(s, "lexeme_id", "sense_id", F.lit("HAS_SENSE"), F.lit("EXPLICIT"))).unionByName(link(s, "sense_id", "synset_id", F.lit("MEMBER_OF_SYNSET"), F.lit("EXPLICIT")))
     node = lambda df, i, kind, label: df.select("term", F.col(i).alias("id"), F.lit(kind).alias("type"), label.alias("label"))
-    short = F.when(F.length("definition") > 28, F.concat(F.substring("definition", 1, 25), F.lit("..."))).otherwise(F.col("definition"))
+    short = F.when(F.length("definition") > 28, shortened(F.col("definition"), 25)).otherwise(F.col("definition"))
     nodes = node(root, "lexeme_id", "LEXEME", F.col("lemma")).unionByName(node(f, "other", "FORM", F.col("label"))).unionByName(node(b, "other", "LEXEME", F.col("label")))
     nodes = nodes.unionByName(node(s, "sense_id", "SENSE", short)).unionByName(node(s, "synset_id", "SYNSET", F.concat(F.lit("Concept: "), F.substring("synset_id", 1, 8))))
     return nodes.groupBy("term", "id", "type").agg(F.min("label").alias("label")), links.distinct()

@@ -21,7 +21,6 @@ KAIKKI = (
 )
 UNIMORPH = "lemma string, surface string, features string"
 SUBTLEX = "Word string, FREQcount long, CDcount long, SUBTLWF double, Lg10WF double, SUBTLCD double, Lg10CD double"
-CLAIM = ["id", "source", "source_key", "claim_type", "subject", "predicate", "object_json"]
 # Relation keys of the YAML form.
 YAML_RELATIONS = ["hypernym", "instance_hypernym", "hyponym", "instance_hyponym", "similar", "also", "meronym", "holonym", "antonym", "entails"]
 
