@@ -24,7 +24,8 @@ def adjacency(edges: DataFrame, types: list[str] | None = None, directed: bool =
     return (out if directed else out.unionByName(e.select(F.col("target_id").alias("node"), F.col("source_id").alias("other")))).distinct()
 
 
-def _depth(depth: int) -> int:
+def bounded_depth(depth: int) -> int:
+    """1 to ``MAX_DEPTH``; more is an error."""
     if depth > MAX_DEPTH:
         raise ValueError(f"depth is at most {MAX_DEPTH}")
     return max(1, depth)
@@ -34,7 +35,7 @@ def reach(adj: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
     """``(root, node, depth)``: nodes within ``depth`` hops of each root, at their least depth; the root at 0."""
     seen = roots.select(F.col("root"), F.col("root").alias("node"), F.lit(0).alias("depth")).filter("root is not null").distinct()
     front = seen
-    for d in range(1, _depth(depth) + 1):
+    for d in range(1, bounded_depth(depth) + 1):
         step = front.select("root", "node").join(adj, "node").select("root", F.col("other").alias("node")).distinct()
         front = step.join(seen.select("root", "node"), ["root", "node"], "left_anti").withColumn("depth", F.lit(d))
         seen = seen.unionByName(front)
@@ -45,7 +46,7 @@ def walks(adj: DataFrame, roots: DataFrame, depth: int, simple: bool = True) ->
     """``(root, node, depth, path)``: every path of 1 to ``depth`` hops; a simple one meets no node twice."""
     front = roots.select("root", F.col("root").alias("node"), F.array("root").alias("path")).filter("root is not null").distinct()
     out = None
-    for d in range(1, _depth(depth) + 1):
+    for d in range(1, bounded_depth(depth) + 1):
         step = front.join(adj, "node")
         step = step.filter(~F.array_contains("path", F.col("other"))) if simple else step
         front = step.select("root", F.col("other").alias("node"), F.concat("path", F.array("other")).alias("path"))
@@ -55,12 +56,16 @@ def walks(adj: DataFrame, roots: DataFrame, depth: int, simple: bool = True) ->
 
 
 def incident_edges(reached: DataFrame, edges: DataFrame, limit: int | None = None) -> DataFrame:
-    """Edges at the reached nodes, once per root; the first ``limit`` per root by edge id."""
+    """Edges at the reached nodes, once per root; the first ``limit`` per root by id, ends and type, nulls last.
+
+    It lists all that every root reaches; :func:`verbarium.operators.nearby.first_edges` does not.
+    """
     ends = edges.select(F.col("source_id").alias("node"), "id", "source_id", "relation_type", "target_id").unionByName(edges.select(F.col("target_id").alias("node"), "id", "source_id", "relation_type", "target_id"))
     out = reached.select("root", "node").join(ends, "node").drop("node").distinct()
     if limit is None:
         return out
-    return out.withColumn("_r", F.row_number().over(Window.partitionBy("root").orderBy("id", "source_id", "target_id"))).filter(F.col("_r") <= limit).drop("_r")
+    order = [F.col(c).asc_nulls_last() for c in ("id", "source_id", "target_id", "relation_type")]
+    return out.withColumn("_r", F.row_number().over(Window.partitionBy("root").orderBy(*order))).filter(F.col("_r") <= limit).drop("_r")
 
 
 def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:

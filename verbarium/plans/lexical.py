@@ -10,7 +10,7 @@ from verbarium.functions.ids import NS_DNS
 from verbarium.functions.morph import inflect
 from verbarium.lineage import cut
 from verbarium.operators import claims as cl
-from verbarium.operators import export, gates, graph, inference, resolution, search, workspace
+from verbarium.operators import export, gates, graph, inference, nearby, resolution, search, workspace
 from verbarium.plans import sql
 from verbarium.sources import readers
 from verbarium.sources.tables import table
@@ -345,8 +345,7 @@ ends AS (SELECT source_id node, id, source_id, relation_type, target_id FROM edg
 x AS (SELECT DISTINCT root, id, source_id, relation_type, target_id FROM n JOIN ends USING (node))
 SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY root ORDER BY id, source_id, target_id, relation_type) r FROM x) WHERE r <= 200""")
 def graph_incident_edges(spark, sf):
-    e = _edges(spark, sf)
-    return graph.incident_edges(graph.reach(graph.adjacency(e, graph.NEIGHBOUR_TYPES), _gone(spark, sf), 3), e, 200)
+    return nearby.first_edges(_edges(spark, sf), _gone(spark, sf), graph.NEIGHBOUR_TYPES, 3, 200)
 
 
 @query("""WITH n AS (SELECT DISTINCT resolved_id node_id FROM resolved_entities), e AS (SELECT source_id x FROM edges UNION ALL SELECT target_id FROM edges), c AS (SELECT x, count(*) d FROM e GROUP BY 1)
